@@ -3,6 +3,8 @@
 Importing this package registers every query module.
 """
 
+from tastemesh.plans import content_queries  # noqa: F401
+from tastemesh.plans import preprocess_queries  # noqa: F401
 from tastemesh.plans import social_queries  # noqa: F401
 from tastemesh.plans.registry import ORACLE, QUERIES
 
