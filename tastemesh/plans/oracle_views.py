@@ -111,6 +111,8 @@ def with_views(names: list[str], body: str) -> str:
         visit(n)
     ctes = ",\n".join(f"{n} AS ({_view_sql(n)})" for n in order)
     body = body.strip()
+    if not order:
+        return "WITH " + body.lstrip(", ") if body.startswith(",") else body
     if body.startswith(","):
         return f"WITH {ctes}{body}"
     return f"WITH {ctes}\n{body}"

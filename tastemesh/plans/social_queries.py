@@ -52,7 +52,7 @@ def friend_adjacency_json(spark, sf_dir):
     return social.adjacency_json_lines(social.two_hop_pairs(social.friend_edges(t.user_friends)))
 
 
-SOCIAL_RECS_SQL = """
+SOCIAL_CTES = """
 , good AS (
   SELECT user_id AS friend, business_id, count(*) AS n
   FROM review WHERE stars >= 3 AND business_id IS NOT NULL
@@ -68,10 +68,14 @@ fresh AS (
 ranked AS (
   SELECT user_id, business_id, top_reviews,
          row_number() OVER (PARTITION BY user_id ORDER BY top_reviews DESC, business_id) AS rank
-  FROM fresh)
-SELECT user_id, business_id, CAST(top_reviews AS BIGINT) AS top_reviews,
-       CAST(rank AS INTEGER) AS rank
-FROM ranked WHERE rank <= 10"""
+  FROM fresh),
+recs AS (
+  SELECT user_id, business_id, CAST(top_reviews AS BIGINT) AS top_reviews,
+         CAST(rank AS INTEGER) AS rank
+  FROM ranked WHERE rank <= 10)"""
+
+SOCIAL_RECS_SQL = SOCIAL_CTES + """
+SELECT * FROM recs"""
 
 
 @query("social_recs", views=("review", "l3"), sql=SOCIAL_RECS_SQL)
