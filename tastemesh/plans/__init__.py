@@ -4,6 +4,7 @@ Importing this package registers every query module.
 """
 
 from tastemesh.plans import content_queries  # noqa: F401
+from tastemesh.plans import hybrid_queries  # noqa: F401
 from tastemesh.plans import model_queries  # noqa: F401
 from tastemesh.plans import preprocess_queries  # noqa: F401
 from tastemesh.plans import social_queries  # noqa: F401

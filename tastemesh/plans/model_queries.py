@@ -239,7 +239,7 @@ def als_from_saved_model(spark, sf_dir):
 @query("collect_recs_per_user", views=("review", "l3"), sql=SOCIAL_CTES + """
 SELECT user_id, string_agg(CAST(business_id AS VARCHAR), ' ' ORDER BY rank) AS business_id,
        CAST(count(*) AS INTEGER) AS n_recs
-FROM recs GROUP BY user_id""")
+FROM s_recs GROUP BY user_id""")
 def collect_recs_per_user(spark, sf_dir):
     """Ranked list per user of the social recommendations, as text (A2)."""
     t = TestTables(spark, sf_dir)

@@ -53,29 +53,29 @@ def friend_adjacency_json(spark, sf_dir):
 
 
 SOCIAL_CTES = """
-, good AS (
+, s_good AS (
   SELECT user_id AS friend, business_id, count(*) AS n
   FROM review WHERE stars >= 3 AND business_id IS NOT NULL
   GROUP BY user_id, business_id),
-cand AS (
+s_cand AS (
   SELECT p.user_id, g.business_id, sum(g.n) AS top_reviews
-  FROM l3 p JOIN good g ON p.friend = g.friend
+  FROM l3 p JOIN s_good g ON p.friend = g.friend
   GROUP BY p.user_id, g.business_id),
-fresh AS (
-  SELECT * FROM cand c
+s_fresh AS (
+  SELECT * FROM s_cand c
   WHERE NOT EXISTS (SELECT 1 FROM review r
                     WHERE r.user_id = c.user_id AND r.business_id = c.business_id)),
-ranked AS (
+s_ranked AS (
   SELECT user_id, business_id, top_reviews,
          row_number() OVER (PARTITION BY user_id ORDER BY top_reviews DESC, business_id) AS rank
-  FROM fresh),
-recs AS (
+  FROM s_fresh),
+s_recs AS (
   SELECT user_id, business_id, CAST(top_reviews AS BIGINT) AS top_reviews,
          CAST(rank AS INTEGER) AS rank
-  FROM ranked WHERE rank <= 10)"""
+  FROM s_ranked WHERE rank <= 10)"""
 
 SOCIAL_RECS_SQL = SOCIAL_CTES + """
-SELECT * FROM recs"""
+SELECT * FROM s_recs"""
 
 
 @query("social_recs", views=("review", "l3"), sql=SOCIAL_RECS_SQL)
