@@ -33,6 +33,8 @@ CATEGORY_FILTER = "ring"
 class TestTables:
     """Lazy logical tables over one scale-factor directory."""
 
+    __test__ = False  # not a pytest class
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
