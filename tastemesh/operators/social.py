@@ -118,11 +118,19 @@ def social_recommendations(reviews: DataFrame, friend_pairs: DataFrame, k: int =
             .filter(F.col("business_id").isNotNull())
             .groupBy(F.col("user_id").alias("friend"), "business_id")
             .agg(F.count(F.lit(1)).alias("n")))
-    cand = (pairs.join(good, "friend")
+    reached = pairs.join(good, "friend").select(
+        "user_id", "business_id", "n", F.lit(False).alias("_own"))
+    # The user's own reviews join the same aggregation as markers, so the
+    # NOT IN becomes a filter after one shuffle instead of a second
+    # sort-merge anti join over every candidate.
+    own = (reviews.filter(F.col("business_id").isNotNull())
+           .select("user_id", "business_id", F.lit(0).cast("long").alias("n"),
+                   F.lit(True).alias("_own")))
+    cand = (reached.unionByName(own)
             .groupBy("user_id", "business_id")
-            .agg(F.sum("n").alias("top_reviews")))
-    own = reviews.select("user_id", "business_id").filter(F.col("business_id").isNotNull())
-    cand = cand.join(own, ["user_id", "business_id"], "left_anti")
+            .agg(F.sum("n").alias("top_reviews"), F.max("_own").alias("_own"))
+            .filter(~F.col("_own") & (F.col("top_reviews") > 0))
+            .drop("_own"))
     return top_k_per_group(cand, ["user_id"],
                            [F.col("top_reviews").desc(), F.col("business_id").asc()], k)
 

@@ -102,7 +102,7 @@ def remove_stopwords_counts(spark, sf_dir):
 @query("term_frequency", views=("stop_words",), sql=_TERMS_SQL + """
 SELECT doc_id, term, tf FROM tf""")
 def term_frequency(spark, sf_dir):
-    tf = TX.term_counts(_doc_tokens(TestTables(spark, sf_dir)), "doc_id")
+    tf = TX.materialized_term_counts(_doc_tokens(TestTables(spark, sf_dir)), "doc_id")
     return TX.cap_vocabulary(tf)
 
 
@@ -114,7 +114,7 @@ SELECT tf.doc_id, tf.term, tf.tf,
 FROM tf JOIN dfreq ON tf.term = dfreq.term""")
 def tfidf(spark, sf_dir):
     t = TestTables(spark, sf_dir)
-    tf = TX.cap_vocabulary(TX.term_counts(_doc_tokens(t), "doc_id"))
+    tf = TX.materialized_term_counts(_doc_tokens(t), "doc_id")
     m = t.documents.agg(F.count(F.lit(1))).scalar()
     out = TX.tfidf(tf, m, "doc_id")
     return out.select("doc_id", "term", "tf", F.round("idf", 9).alias("idf"),
