@@ -52,3 +52,12 @@ def parse_id_list(c: ColumnOrName, sep: str = " ") -> Column:
 def field_of_line(c: ColumnOrName, index: int, sep: str = ",") -> Column:
     """``split(line, sep)[index]`` (P8), null when the field is absent."""
     return F.get(F.split(_col(c), "[" + sep + "]"), index)
+
+
+def set_text(values: ColumnOrName) -> Column:
+    """A set printed as ``[a, b, c]`` (X9): sorted, comma-space separated.
+
+    Only for bounded arrays (e.g. a user's top-k set).
+    """
+    return F.concat(F.lit("["), F.array_join(F.sort_array(F.array_distinct(_col(values))), ", "),
+                    F.lit("]"))

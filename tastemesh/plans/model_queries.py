@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from tastemesh.functions.strings import join_ids, set_text
 from tastemesh.functions.vectors import to_array
 from tastemesh.operators import collaborative as CF
 from tastemesh.operators import index as IX
@@ -238,14 +239,17 @@ def als_from_saved_model(spark, sf_dir):
 
 @query("collect_recs_per_user", views=("review", "l3"), sql=SOCIAL_CTES + """
 SELECT user_id, string_agg(CAST(business_id AS VARCHAR), ' ' ORDER BY rank) AS business_id,
-       CAST(count(*) AS INTEGER) AS n_recs
+       CAST(count(*) AS INTEGER) AS n_recs,
+       '[' || array_to_string(list_sort(list_distinct(list(business_id))), ', ') || ']' AS business_set
 FROM s_recs GROUP BY user_id""")
 def collect_recs_per_user(spark, sf_dir):
-    """Ranked list per user of the social recommendations, as text (A2)."""
+    """Per user: the ranked list of the social recommendations as text, and
+    the ``collect_set`` form printed as a set (A2, X9)."""
     t = TestTables(spark, sf_dir)
     recs = social.social_pipeline(t.user_friends, t.review.select("user_id", "business_id", "stars"))
     lists = CF.ranked_lists(recs)
-    return lists.select("user_id", F.array_join(F.transform("business_id", lambda x: x.cast("string")),
-                                                " ").alias("business_id"),
-                        F.size("business_id").alias("n_recs"))
+    sets = CF.ranked_lists(recs, as_set=True).withColumnRenamed("business_id", "_set")
+    return lists.join(sets, "user_id").select(
+        "user_id", join_ids("business_id", " ").alias("business_id"),
+        F.size("business_id").alias("n_recs"), set_text("_set").alias("business_set"))
 

@@ -61,3 +61,13 @@ def test_topical_lines_print_null(spark):
         f"{c} string" for c in P.TOPICAL_COLUMNS))
     line = P.topical_lines(df).collect()[0].line
     assert line == "\t".join(["null"] * 16)
+
+
+def test_set_text_and_id_lists(spark):
+    from pyspark.sql import functions as F
+    from tastemesh.functions.strings import field_of_line, join_ids, parse_id_list, set_text
+    df = spark.createDataFrame([(["b", "a", "b"], "u1,3 1 2 ")], "s array<string>, line string")
+    r = df.select(set_text("s").alias("t"), field_of_line("line", 0).alias("u"),
+                  parse_id_list(field_of_line("line", 1)).alias("ids"),
+                  join_ids(F.array(F.lit(3), F.lit(1))).alias("j")).collect()[0]
+    assert (r.t, r.u, r.ids, r.j) == ("[a, b]", "u1", ["3", "1", "2"], "3 1")
