@@ -82,3 +82,43 @@ SELECT * FROM s_recs"""
 def social_recs(spark, sf_dir):
     t = TestTables(spark, sf_dir)
     return social.social_pipeline(t.user_friends, t.review.select("user_id", "business_id", "stars"))
+
+
+@query("social_recs_preprocessed", views=("business", "review_raw", "user_friends"), sql="""
+, bf AS (
+  SELECT business_id
+  FROM (SELECT *, trim(unnest(string_split(categories, ','))) AS cat
+        FROM business WHERE city = 'Brand#2')
+  WHERE lower(cat) = 'ring'),
+rf AS (SELECT * FROM review_raw WHERE business_id IN (SELECT business_id FROM bf)),
+uf AS (SELECT * FROM user_friends WHERE user_id IN (SELECT user_id FROM rf)),
+p1 AS (
+  SELECT DISTINCT user_id, TRY_CAST(f AS BIGINT) AS friend
+  FROM (SELECT user_id, trim(unnest(string_split(friends, ','))) AS f FROM uf)
+  WHERE f <> 'None' AND f <> '' AND TRY_CAST(f AS BIGINT) IS NOT NULL),
+p2 AS (SELECT user_id, friend FROM p1
+       UNION SELECT a.user_id, b.friend FROM p1 a JOIN p1 b ON a.friend = b.user_id),
+p3 AS (SELECT user_id, friend FROM p2
+       UNION SELECT a.user_id, b.friend FROM p2 a JOIN p2 b ON a.friend = b.user_id),
+pg AS (SELECT user_id AS friend, business_id, count(*) AS n FROM rf
+       WHERE TRY_CAST(stars AS DOUBLE) >= 3 AND business_id IS NOT NULL
+       GROUP BY user_id, business_id),
+pc AS (SELECT p.user_id, g.business_id, sum(g.n) AS top_reviews
+       FROM p3 p JOIN pg g ON p.friend = g.friend GROUP BY p.user_id, g.business_id),
+pf AS (SELECT * FROM pc c WHERE NOT EXISTS (
+         SELECT 1 FROM rf r WHERE r.user_id = c.user_id AND r.business_id = c.business_id)),
+pr AS (SELECT user_id, business_id, top_reviews,
+              row_number() OVER (PARTITION BY user_id ORDER BY top_reviews DESC, business_id) AS rank
+       FROM pf)
+SELECT user_id, business_id, CAST(top_reviews AS BIGINT) AS top_reviews, CAST(rank AS INTEGER) AS rank
+FROM pr WHERE rank <= 10""")
+def social_recs_preprocessed(spark, sf_dir):
+    """The full social job: city + category cascade, then edges and levels of
+    the filtered users, ranked over the filtered reviews (R5 → G1 → G2 → R1)."""
+    from tastemesh.operators import preprocess as P
+    from tastemesh.sources.testdata import CATEGORY_FILTER, CITY_FILTER
+    t = TestTables(spark, sf_dir)
+    bf = P.business_in_category(t.business, CATEGORY_FILTER, CITY_FILTER)
+    rf = P.semi_join(t.review_raw.select("user_id", "business_id", "stars"), bf, "business_id")
+    uf = P.semi_join(t.user_friends, rf, "user_id")
+    return social.social_pipeline(uf, rf)
