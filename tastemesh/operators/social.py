@@ -80,14 +80,16 @@ def level_sets(edges: DataFrame, levels: int = 3, checkpoint: bool = False) -> l
 def friend_levels(edges: DataFrame, levels: int = 3, checkpoint: bool = False) -> DataFrame:
     """(user_id, friend, weight) distinct union of all levels.
 
-    Weight is ``levels`` for L1 down to 1 for the last level.
+    Weight is ``levels`` for L1 down to 1 for the last level.  Every level is
+    already a distinct pair set and carries its own weight, so the union is
+    distinct without another shuffle.
     """
     sets = level_sets(edges, levels, checkpoint)
     parts = [s.withColumn("weight", F.lit(levels - i)) for i, s in enumerate(sets)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.distinct()
+    return out
 
 
 def two_hop_pairs(edges: DataFrame) -> DataFrame:
