@@ -70,12 +70,13 @@ def model_recommendations_job(spark: SparkSession, model_path: str, out: str, k:
 
 
 def business_vectors(review: DataFrame) -> DataFrame:
-    """(business_id, vector): pipeline fitted on review texts, mean word
-    vector per business over all its reviews' tokens."""
-    docs = review.select("review_id", "business_id", "text")
-    model = TX.content_pipeline().fit(docs)
-    toks = TX.tokens(docs)
-    return TX.mean_word_vectors(toks, "business_id", TX.word_vectors(model.stages[4]))
+    """(business_id, vector): Word2Vec (the pipeline's vector stage, same
+    parameters) fitted on the review tokens; mean word vector per business
+    over all its reviews' tokens.  The pipeline's count/IDF stages are not
+    fitted here: the recommender reads only the word vectors."""
+    toks = TX.tokens(review.select("review_id", "business_id", "text"))
+    w2v = TX.content_pipeline().getStages()[4].fit(toks)
+    return TX.mean_word_vectors(toks, "business_id", TX.word_vectors(w2v))
 
 
 def content_job(cat: Catalog, out: str, k: int = 10, neighbours: int = 10,
