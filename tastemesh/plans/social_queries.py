@@ -46,7 +46,8 @@ def friend_adjacency(spark, sf_dir):
         F.max("friend").alias("last_friend"))
 
 
-@query("friend_adjacency_json")
+@query("friend_adjacency_json", views=("l2",), sql="""
+SELECT CAST(to_json({'user_id': user_id, 'friend': friend}) AS VARCHAR) AS value FROM l2""")
 def friend_adjacency_json(spark, sf_dir):
     t = TestTables(spark, sf_dir)
     return social.adjacency_json_lines(social.two_hop_pairs(social.friend_edges(t.user_friends)))
