@@ -13,11 +13,17 @@ computed without a single-partition window:
    repeat on a re-run);
 4. per-partition counts (one row per partition -- bounded by the partition
    count) give prefix offsets, broadcast back to every row.
+
+The same steps rank rows by any total order (``global_positions``), which is
+how a global top-k with a large ``k`` (a capped vocabulary) is cut without
+funnelling ``k`` rows per map task into one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastemesh.operators.social import stars_value
@@ -26,17 +32,18 @@ from tastemesh.session import cut_lineage
 _PARTITION_SHIFT = 33  # monotonically_increasing_id: partition id in the upper bits
 
 
-def dense_index(df: DataFrame, key: str, out: str, num_partitions: int | None = None) -> DataFrame:
-    """(key, out) with ``out`` = 0-based rank of ``key`` among distinct non-null keys.
-
-    ``out`` is an ``int`` (the reference casts to int for the factorisation);
-    under ANSI mode an index beyond the int range raises instead of wrapping.
+def global_positions(df: DataFrame, order_cols: Sequence[Column], out: str,
+                     num_partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``out``: the 0-based position of every row in the total
+    order ``order_cols`` -- ``row_number() over (order by ...) - 1`` without
+    a single-partition window (steps 1-4 above).  The order must be unique
+    per row for the positions to be deterministic.  Needs a checkpoint folder.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
-    ranged = (keys.repartitionByRange(n, key).sortWithinPartitions(key)
-              .select(key, F.spark_partition_id().alias("_pid"),
+    cols = df.columns
+    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+              .select(*cols, F.spark_partition_id().alias("_pid"),
                       F.monotonically_increasing_id().alias("_mid")))
     ranged = cut_lineage(ranged, required=True)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
@@ -45,7 +52,18 @@ def dense_index(df: DataFrame, key: str, out: str, num_partitions: int | None =
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(prefix), F.lit(0)).alias("_off"))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _PARTITION_SHIFT)
     return (ranged.join(F.broadcast(offsets), "_pid")
-            .select(key, (F.col("_off") + local).cast("int").alias(out)))
+            .select(*cols, (F.col("_off") + local).alias(out)))
+
+
+def dense_index(df: DataFrame, key: str, out: str, num_partitions: int | None = None) -> DataFrame:
+    """(key, out) with ``out`` = 0-based rank of ``key`` among distinct non-null keys.
+
+    ``out`` is an ``int`` (the reference casts to int for the factorisation);
+    under ANSI mode an index beyond the int range raises instead of wrapping.
+    """
+    keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
+    pos = global_positions(keys, [F.col(key)], "_pos", num_partitions)
+    return pos.select(key, F.col("_pos").cast("int").alias(out))
 
 
 def attach_index(df: DataFrame, index: DataFrame, key: str) -> DataFrame:
