@@ -70,3 +70,17 @@ def test_hot_friend_join_is_split_by_aqe(spark, capsys):
     with _conf(spark, **{"spark.sql.adaptive.skewJoin.enabled": "false"}):
         plain = sorted(tuple(r) for r in social.social_recommendations(reviews, edges, k=10).collect())
     assert got == plain and len(got) == (n_users - 1) * 10
+
+
+def test_vocabulary_cap_has_no_single_task_limit_and_broadcast_idf(spark):
+    from tastemesh.operators import text as TX
+    docs = spark.createDataFrame([(i, f"w{i % 7} w{i % 11} common") for i in range(200)],
+                                 "doc_id long, text string")
+    tf = TX.term_counts(TX.tokens(docs), "doc_id")
+    with _conf(spark, **{"spark.sql.adaptive.enabled": "false",
+                         "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = _plan(spark, TX.tfidf(tf, F.lit(200), "doc_id", vocab_size=5))
+    assert "TakeOrderedAndProject" not in plan
+    # (doc, term) rows meet the capped idf table in a broadcast join, not a
+    # shuffle by term (AQE off and size-based broadcast off: the hint alone)
+    assert "BroadcastHashJoin" in plan
