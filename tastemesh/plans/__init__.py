@@ -8,6 +8,6 @@ from tastemesh.plans import hybrid_queries  # noqa: F401
 from tastemesh.plans import model_queries  # noqa: F401
 from tastemesh.plans import preprocess_queries  # noqa: F401
 from tastemesh.plans import social_queries  # noqa: F401
-from tastemesh.plans.registry import ORACLE, QUERIES
+from tastemesh.plans.registry import QUERIES, oracle_sql
 
-__all__ = ["ORACLE", "QUERIES"]
+__all__ = ["QUERIES", "oracle_sql"]

@@ -2,8 +2,9 @@
 
 Each query may carry an oracle: DuckDB SQL over the same parquet tables,
 written against the CTEs of :mod:`tastemesh.plans.oracle_views`.  Queries
-without an oracle are the non-SQL-expressible ones (model fitting, JSON
-export), checked by row counts and by property tests instead.
+without an oracle are the non-SQL-expressible ones (model fitting), checked
+by property and round-trip tests instead.  Oracle texts are assembled only
+when :func:`oracle_sql` is called, so importing the queries needs none of them.
 """
 
 from __future__ import annotations
@@ -12,12 +13,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastemesh.plans.oracle_views import with_views
-
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
-ORACLE: dict[str, str] = {}
+_SQL: dict[str, tuple[str, tuple[str, ...]]] = {}
 
 
 def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()):
@@ -27,6 +26,12 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()):
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = with_views(list(views), sql)
+            _SQL[name] = (sql, views)
         return fn
     return deco
+
+
+def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL of every query that has an oracle."""
+    from tastemesh.plans.oracle_views import with_views
+    return {name: with_views(list(views), sql) for name, (sql, views) in _SQL.items()}
