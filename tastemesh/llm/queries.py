@@ -3,12 +3,14 @@ SQL for those that SQL can express."""
 
 from __future__ import annotations
 
-from tastemesh.llm import fertility, packing, wavelet
+from tastemesh.llm import fertility, packing, ring, transducer, wavelet
 
 QUERIES = {f.__name__: f for f in (
     packing.op1_vector_best_fit_packing,
     wavelet.op3_wavelet_matrix_shards,
     fertility.op4_tokeniser_fertility,
+    ring.op6_bounded_load_ring,
+    transducer.op8_transducer_bpe,
 )}
 
 ORACLE: dict[str, str] = {}
