@@ -3,7 +3,7 @@ SQL for those that SQL can express."""
 
 from __future__ import annotations
 
-from tastemesh.llm import fertility, packing, ring, transducer, wavelet
+from tastemesh.llm import bagminhash, fertility, packing, ring, transducer, wavelet
 
 QUERIES = {f.__name__: f for f in (
     packing.op1_vector_best_fit_packing,
@@ -11,6 +11,7 @@ QUERIES = {f.__name__: f for f in (
     fertility.op4_tokeniser_fertility,
     ring.op6_bounded_load_ring,
     transducer.op8_transducer_bpe,
+    bagminhash.op10_bagminhash_near_dedup,
 )}
 
 ORACLE: dict[str, str] = {}
