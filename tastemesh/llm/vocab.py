@@ -10,6 +10,7 @@ import json
 import os
 import sys
 import types
+import unicodedata
 
 import numpy as np
 from pyspark import cloudpickle
@@ -98,55 +99,110 @@ def byte_encoder(path: str):
     return encode
 
 
-class WordEncoder:
-    """Batch encoder over a vocabulary whose tokens never cross white space.
+def _gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches ``flat[start:start + size]``, one behind the other."""
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(start - (ends - size), size) + np.arange(total)]
 
-    Distinct blank-separated words are encoded once by the tokenizers
-    library -- many at a time as one text, cut again at the words by the
-    library's offsets -- and kept in flat arrays; a text is then a gather of
-    its words' ids.  Memory is bounded: past ``max_words`` words the cache is
-    emptied.
-    """
 
-    def __init__(self, path: str, max_words: int = 400_000):
-        self.tok = hf_tokenizer(path)
-        self.max_words = max_words
-        self._reset()
+class _Stretches:
+    """Keys with a stretch of ids each, in flat arrays."""
 
-    def _reset(self) -> None:
+    def __init__(self):
         self.index: dict[str, int] = {}
         self.start = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
-    def _learn(self, words: list[str]) -> None:
-        enc = self.tok.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(enc.ids, dtype=np.uint32)
-        at = np.fromiter((o[0] for o in enc.offsets), np.int64, len(ids))
-        ends = np.cumsum(np.fromiter((len(w) + 1 for w in words), np.int64, len(words)))
-        cut = np.searchsorted(at, ends)
-        size = np.diff(np.r_[0, cut])
-        self.start = np.r_[self.start, len(self.flat) + cut - size]
+    def add(self, keys: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        n = len(self.index)
+        self.index.update(zip(keys, range(n, n + len(keys))))
+        self.start = np.r_[self.start, len(self.flat) + np.cumsum(size) - size]
         self.size = np.r_[self.size, size]
         self.flat = np.r_[self.flat, ids]
-        n = len(self.index)
-        self.index.update(zip(words, range(n, n + len(words))))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in one array, number of ids per text)."""
-        if len(self.index) > self.max_words:
-            self._reset()
-        words = [t.split(" ") for t in (x.replace("\n", " ") for x in texts)]
-        index = self.index
-        new = dict.fromkeys(w for ws in words for w in ws if w not in index)
+
+    def places(self, keys, n: int) -> np.ndarray:
+        return np.fromiter(map(self.index.__getitem__, keys), np.int64, n)
+
+
+class WordEncoder:
+    """Batch encoder over a vocabulary with word ends, whose tokens never cross
+    white space: the tokenizers library's ids at a fraction of its calls.
+
+    A batch's distinct blank-separated words are found by Arrow.  A word that is
+    not yet known is cut into the units of the vocabulary's own pattern, and
+    only units not yet known go to the tokenizers library, many as one text
+    (each ends at an id that closes a word).  Words beyond plain composed Latin,
+    or with a special token, go to the library whole, as one text cut again by
+    its offsets.  Past ``most`` words or units the caches are emptied.
+    """
+
+    def __init__(self, path: str, most: int = 400_000):
+        import regex
+        self.tok, self.most = hf_tokenizer(path), most
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        split = spec["pre_tokenizer"]["pretokenizers"][0]
+        self.units_of = regex.compile(split["pattern"]["Regex"]).findall
+        self.marks = [t["content"][:2] for t in spec["added_tokens"]]
+        end, vocab = spec["model"]["end_of_word_suffix"], spec["model"]["vocab"]
+        self.closes = np.zeros(1 + max(vocab.values()), bool)
+        self.closes[[i for t, i in vocab.items() if t.endswith(end)]] = True
+        self.words, self.units = _Stretches(), _Stretches()
+
+    def _plain(self, word: str) -> bool:
+        return (max(word, default="") < "\u0250" and not any(m in word for m in self.marks)
+                and (word.isascii() or unicodedata.is_normalized("NFC", word)))
+
+    def _learn_units(self, units: list[str]) -> None:
+        enc = self.tok.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0]
+        ids = np.array(enc.ids, dtype=np.uint32)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(units):
+            raise ValueError("units and word ends differ in number")
+        self.units.add(units, ids, np.diff(np.r_[0, ends]))
+
+    def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if self._plain(w)]
+        if plain:
+            cut = [self.units_of(w.lower()) for w in plain]
+            known = self.units.index
+            new = list(dict.fromkeys(u for c in cut for u in c if u not in known))
+            if new:
+                self._learn_units(new)
+            n = np.fromiter(map(len, cut), np.int64, len(cut))
+            at = self.units.places((u for c in cut for u in c), int(n.sum()))
+            size = self.units.size[at]
+            upto = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(n)]]
+            self.words.add(plain, _gather(self.units.flat, self.units.start[at], size),
+                           np.diff(upto))
+        other = [w for w in words if w not in self.words.index]
+        if other:
+            enc = self.tok.encode(" ".join(other), add_special_tokens=False)
+            begin = np.fromiter((o[0] for o in enc.offsets), np.int64, len(enc.ids))
+            ends = np.cumsum(np.fromiter((len(w) + 1 for w in other), np.int64, len(other)))
+            upto = np.searchsorted(begin, ends)
+            self.words.add(other, np.array(enc.ids, dtype=np.uint32), np.diff(np.r_[0, upto]))
+
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in one array, number of ids per text); ``texts`` is an
+        Arrow string array without nulls."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        if max(len(self.words.index), len(self.units.index)) > self.most:
+            self.words, self.units = _Stretches(), _Stretches()
+        lists = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "),
+                                 " ")
+        coded = lists.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        known = self.words.index
+        new = [w for w in distinct if w not in known]
         if new:
-            self._learn(list(new))
-        at = np.fromiter((index[w] for ws in words for w in ws), np.int64,
-                         sum(map(len, words)))
-        size = self.size[at]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.start[at] - (ends - size), size) + np.arange(total)]
-        bounds = np.cumsum(np.fromiter((len(ws) for ws in words), np.int64, len(words)))
-        upto = np.r_[0, ends][bounds]
-        return ids, np.diff(np.r_[0, upto])
+            self._learn(new)
+        at = self.words.places(distinct, len(distinct))[coded.indices.to_numpy()]
+        size = self.words.size[at]
+        ids = _gather(self.words.flat, self.words.start[at], size)
+        n = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        upto = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(n)]]
+        return ids, np.diff(upto)

@@ -44,7 +44,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 END_ID = 1
 BITS = 16                     # word_bpe_49k ids are below 2^16
 SHARD_TOKENS = 1 << 20
-BATCH_TEXTS = 512             # texts encoded together
+BATCH_TEXTS = 2048            # texts encoded together
 _BLOCK = 512                  # bits per directory entry
 
 
@@ -205,7 +205,7 @@ def shard_rows(docs: DataFrame, vocab_path: str, end_id: int = END_ID, bits: int
             for lo in range(0, batch.num_rows, BATCH_TEXTS):
                 b = batch.slice(lo, BATCH_TEXTS)
                 part = b.column("part")[0].as_py()
-                flat, size = encoder.encode(b.column("text").to_pylist())
+                flat, size = encoder.encode(b.column("text"))
                 ends = np.cumsum(size)
                 size = size + 1
                 flat = np.insert(flat, ends, np.uint32(end_id))  # behind each document
@@ -236,12 +236,16 @@ def write_shards(docs: DataFrame, path: str, vocab_path: str | None = None, **op
 
 
 def read_shards(spark, path: str) -> DataFrame:
-    """The shards under ``path`` with ``start``: the ids in all shards before.
+    """The shards under ``path``."""
+    return spark.read.parquet(path)
+
+
+def shard_starts(shards: DataFrame) -> DataFrame:
+    """(part, shard, shard_start): the ids in all shards before.
 
     Prefix sums run within parts (a task's shards) and then over one row per
     part, never over all shards in one task.
     """
-    shards = spark.read.parquet(path)
     per_part = shards.groupBy("part").agg(F.sum("n_tokens").alias("part_tokens"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select(
@@ -249,9 +253,8 @@ def read_shards(spark, path: str) -> DataFrame:
     sizes = shards.select("part", "shard", "n_tokens").join(offsets, "part")
     within = Window.partitionBy("part").orderBy("shard").rowsBetween(
         Window.unboundedPreceding, -1)
-    starts = sizes.select("part", "shard", (F.col("part_start") + F.coalesce(
-        F.sum("n_tokens").over(within), F.lit(0))).alias("start"))
-    return shards.join(starts, ["part", "shard"])
+    return sizes.select("part", "shard", (F.col("part_start") + F.coalesce(
+        F.sum("n_tokens").over(within), F.lit(0))).alias("shard_start"))
 
 
 def read_documents(shards: DataFrame) -> DataFrame:
@@ -266,7 +269,8 @@ def document_digests(shards: DataFrame) -> DataFrame:
 
 def _decode(shards: DataFrame, with_ids: bool) -> DataFrame:
     id_type = shards.schema["doc_ids"].dataType.elementType
-    fields = [T.StructField("doc_id", id_type), T.StructField("start", T.LongType()),
+    fields = [T.StructField("part", T.IntegerType()), T.StructField("shard", T.IntegerType()),
+              T.StructField("doc_id", id_type), T.StructField("inside", T.LongType()),
               T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())]
     if with_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
@@ -279,8 +283,10 @@ def _decode(shards: DataFrame, with_ids: bool) -> DataFrame:
                 size = np.asarray(batch.column("lengths")[r].values)
                 ends = np.cumsum(size)
                 begin = ends - size
-                cols = [batch.column("doc_ids")[r].values,
-                        pa.array(begin + batch.column("start")[r].as_py(), pa.int64()),
+                n = len(size)
+                cols = [pa.repeat(batch.column("part")[r], n),
+                        pa.repeat(batch.column("shard")[r], n),
+                        batch.column("doc_ids")[r].values, pa.array(begin, pa.int64()),
                         pa.array(size, pa.int64()),
                         pa.array([zlib.crc32(flat[a:b]) for a, b in zip(begin, ends)],
                                  pa.int64())]
@@ -289,39 +295,58 @@ def _decode(shards: DataFrame, with_ids: bool) -> DataFrame:
                                           for a, b in zip(begin, ends)], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields])
 
-    return (shards.select("doc_ids", "lengths", "matrix", "start")
-            .mapInArrow(read, T.StructType(fields)))
+    # a shard's start joins the decoded rows, so no matrix is ever shuffled
+    decoded = (shards.select("part", "shard", "doc_ids", "lengths", "matrix")
+               .mapInArrow(read, T.StructType(fields)))
+    return (decoded.join(shard_starts(shards), ["part", "shard"])
+            .select("doc_id", (F.col("shard_start") + F.col("inside")).alias("start"),
+                    *[f.name for f in fields[4:]]))
 
 
 def _over_matrices(shards: DataFrame, schema: str, look) -> DataFrame:
     def run(frames):
         for pdf in frames:
-            for start, data in zip(pdf["start"], pdf["matrix"]):
-                yield look(int(start), WaveletMatrix.from_bytes(data))
-    return shards.select("start", "matrix").mapInPandas(run, schema)
+            for part, shard, data in zip(pdf["part"], pdf["shard"], pdf["matrix"]):
+                found = look(WaveletMatrix.from_bytes(data))
+                yield found.assign(part=part, shard=shard)
+    return (shards.select("part", "shard", "matrix")
+            .mapInPandas(run, f"{schema}, part int, shard int"))
 
 
 def count_token(shards: DataFrame, token: int) -> DataFrame:
     """(n): occurrences of ``token`` in all shards, by rank."""
-    return (_over_matrices(shards, "n long",
-                           lambda start, m: pd.DataFrame({"n": [m.count(token)]}))
+    return (_over_matrices(shards, "n long", lambda m: pd.DataFrame({"n": [m.count(token)]}))
             .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")))
 
 
 def find_token(shards: DataFrame, token: int) -> DataFrame:
     """(position): every place of ``token`` in the whole corpus, by select."""
-    return _over_matrices(shards, "position long", lambda start, m: pd.DataFrame(
-        {"position": start + m.occurrences(token)}))
-
+    return (_over_matrices(shards, "inside long",
+                           lambda m: pd.DataFrame({"inside": m.occurrences(token)}))
+            .join(shard_starts(shards), ["part", "shard"])
+            .select((F.col("shard_start") + F.col("inside")).alias("position")))
+
+
+def tokens_at(shards: DataFrame, positions: DataFrame) -> DataFrame:
+    """(position, token): the ids at the places that ``positions`` (position) lists, by
+    rank; only shards with a wanted place are opened."""
+    spans = shards.select("part", "shard", "n_tokens").join(shard_starts(shards),
+                                                            ["part", "shard"])
+    per_shard = (positions.distinct().join(
+        spans, (F.col("position") >= F.col("shard_start"))
+        & (F.col("position") < F.col("shard_start") + F.col("n_tokens")))
+        .groupBy("part", "shard").agg(F.collect_list("position").alias("position"),
+                                      F.first("shard_start").alias("shard_start")))
 
-def tokens_at(shards: DataFrame, positions: list[int]) -> DataFrame:
-    """(position, token) at a stated list of positions, by rank."""
-    wanted = np.unique(np.asarray(positions, np.int64))
-
-    def look(start, m):
-        own = wanted[(wanted >= start) & (wanted < start + m.n)]
-        return pd.DataFrame({"position": own, "token": m.access(own - start)})
-    return _over_matrices(shards, "position long, token long", look)
+    def run(frames):
+        for pdf in frames:
+            for at, start, data in zip(pdf["position"], pdf["shard_start"], pdf["matrix"]):
+                at = np.asarray(at, np.int64)
+                yield pd.DataFrame({"position": at, "token": WaveletMatrix.from_bytes(data)
+                                    .access(at - start)})
+    return (per_shard.join(shards.select("part", "shard", "matrix"), ["part", "shard"])
+            .select("position", "shard_start", "matrix")
+            .mapInPandas(run, "position long, token long"))
 
 
 def op3_wavelet_matrix_shards(spark, sf_dir: str) -> DataFrame:
