@@ -130,30 +130,36 @@ class WordEncoder:
     """Batch encoder over a vocabulary with word ends, whose tokens never cross
     white space: the tokenizers library's ids at a fraction of its calls.
 
-    A batch's distinct blank-separated words are found by Arrow.  A word that is
-    not yet known is cut into the units of the vocabulary's own pattern, and
+    A batch's distinct blank-separated words are found by Arrow.  Words that are
+    not yet known are cut into the units of the vocabulary's own pattern, and
     only units not yet known go to the tokenizers library, many as one text
     (each ends at an id that closes a word).  Words beyond plain composed Latin,
     or with a special token, go to the library whole, as one text cut again by
-    its offsets.  Past ``most`` words or units the caches are emptied.
+    its offsets.  Past ``most_words`` and ``most_units`` the caches are emptied.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most_words: int = 300_000, most_units: int = 800_000):
         import regex
-        self.tok, self.most = hf_tokenizer(path), most
+        self.tok, self.most_words, self.most_units = hf_tokenizer(path), most_words, most_units
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         split = spec["pre_tokenizer"]["pretokenizers"][0]
-        self.units_of = regex.compile(split["pattern"]["Regex"]).findall
+        # no unit holds a blank, so blanks can be listed among the units
+        self.units_of = regex.compile(split["pattern"]["Regex"] + "| ").findall
         self.marks = [t["content"][:2] for t in spec["added_tokens"]]
         end, vocab = spec["model"]["end_of_word_suffix"], spec["model"]["vocab"]
         self.closes = np.zeros(1 + max(vocab.values()), bool)
         self.closes[[i for t, i in vocab.items() if t.endswith(end)]] = True
         self.words, self.units = _Stretches(), _Stretches()
+        self._no_units()
 
-    def _plain(self, word: str) -> bool:
-        return (max(word, default="") < "\u0250" and not any(m in word for m in self.marks)
-                and (word.isascii() or unicodedata.is_normalized("NFC", word)))
+    def _no_units(self) -> None:
+        self.units = _Stretches()
+        self.units.add([" "], np.zeros(0, np.uint32), np.zeros(1, np.int64))
+
+    def _plain(self, text: str) -> bool:
+        return (max(text, default="") < "\u0250" and not any(m in text for m in self.marks)
+                and (text.isascii() or unicodedata.is_normalized("NFC", text)))
 
     def _learn_units(self, units: list[str]) -> None:
         enc = self.tok.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0]
@@ -164,20 +170,19 @@ class WordEncoder:
         self.units.add(units, ids, np.diff(np.r_[0, ends]))
 
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if self._plain(w)]
+        plain = words if self._plain(" ".join(words)) else [w for w in words if self._plain(w)]
         if plain:
-            cut = [self.units_of(w.lower()) for w in plain]
+            units = self.units_of(" ".join(plain).lower() + " ")
             known = self.units.index
-            new = list(dict.fromkeys(u for c in cut for u in c if u not in known))
+            new = [u for u in dict.fromkeys(units) if u not in known]
             if new:
                 self._learn_units(new)
-            n = np.fromiter(map(len, cut), np.int64, len(cut))
-            at = self.units.places((u for c in cut for u in c), int(n.sum()))
+            at = self.units.places(units, len(units))
             size = self.units.size[at]
-            upto = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(n)]]
+            upto = np.cumsum(size)[np.flatnonzero(at == 0)]     # at the blank behind a word
             self.words.add(plain, _gather(self.units.flat, self.units.start[at], size),
-                           np.diff(upto))
-        other = [w for w in words if w not in self.words.index]
+                           np.diff(np.r_[0, upto]))
+        other = [] if plain is words else [w for w in words if w not in self.words.index]
         if other:
             enc = self.tok.encode(" ".join(other), add_special_tokens=False)
             begin = np.fromiter((o[0] for o in enc.offsets), np.int64, len(enc.ids))
@@ -190,8 +195,10 @@ class WordEncoder:
         Arrow string array without nulls."""
         import pyarrow as pa
         import pyarrow.compute as pc
-        if max(len(self.words.index), len(self.units.index)) > self.most:
-            self.words, self.units = _Stretches(), _Stretches()
+        if len(self.words.index) > self.most_words:
+            self.words = _Stretches()
+        if len(self.units.index) > self.most_units:
+            self._no_units()
         lists = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "),
                                  " ")
         coded = lists.flatten().dictionary_encode()
