@@ -3,10 +3,11 @@ SQL for those that SQL can express."""
 
 from __future__ import annotations
 
-from tastemesh.llm import bagminhash, fertility, lines, packing, ring, transducer, wavelet
+from tastemesh.llm import bagminhash, fertility, iblt, lines, packing, ring, transducer, wavelet
 
 QUERIES = {f.__name__: f for f in (
     packing.op1_vector_best_fit_packing,
+    iblt.op2_invertible_bloom_fingerprints,
     wavelet.op3_wavelet_matrix_shards,
     fertility.op4_tokeniser_fertility,
     ring.op6_bounded_load_ring,
