@@ -136,7 +136,7 @@ def _piece_encoder(path: str):
         import sentencepiece
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         return sp, np.array([sp.is_byte(i) for i in range(sp.get_piece_size())])
-    return once_per_worker(("pieces", path), make)
+    return once_per_worker("pieces", path, make)
 
 
 def measures_udf(piece_path: str, byte_path: str, bands: dict | None = None):

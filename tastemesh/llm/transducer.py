@@ -40,14 +40,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tastemesh.llm.common import documents, scratch_path, texts, written
-from tastemesh.llm.vocab import BYTE_PATTERN, byte_alphabet, once_per_worker, vocabulary_path
+from tastemesh.llm.vocab import (BYTE_PATTERN, Stretches, byte_alphabet, gather,
+                                 once_per_worker, vocabulary_path)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-LEXICON_WORDS = 100_000
+LEXICON_WORDS = 300_000
 LEXICON_BYTES = 64            # longer pre-tokens are never frequent words worth a path
-CACHE_WORDS = 200_000         # merged unseen words that a worker remembers
-BATCH_TEXTS = 1024
+CACHE_WORDS = 300_000         # merged unseen words that a worker remembers
+BATCH_TEXTS = 4096
+COUNT_TEXTS = 8192
 
 
 class Merges:
@@ -61,10 +63,12 @@ class Merges:
         self.byte_id = [0] * 256
         for shown, b in alphabet.items():
             self.byte_id[b] = vocab[shown]
-        self.rule: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank: dict[int, int] = {}             # both ids of a pair in one number
+        self.merged: list[int] = []                # rank -> new id
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.rule[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            self.rank[vocab[a] << 32 | vocab[b]] = rank
+            self.merged.append(vocab[a + b])
         size = 1 + max([*vocab.values(), *self.special.values()])
         self.bytes_of: list[bytes] = [b""] * size
         for token, i in vocab.items():
@@ -77,38 +81,40 @@ class Merges:
         """Ids of one pre-token: the lowest-ranked adjacent pair, leftmost first,
         is replaced until no rule applies."""
         ids = [self.byte_id[b] for b in word]
-        if len(ids) > 48:
+        if len(ids) > 64:
             return self._merge_long(ids)
-        rule = self.rule
-        while len(ids) > 1:
-            best = None
-            for i, pair in enumerate(zip(ids, ids[1:])):
-                r = rule.get(pair)
-                if r is not None and (best is None or r[0] < best[0]):
-                    best, at = r, i
-            if best is None:
-                break
-            ids[at:at + 2] = [best[1]]
+        rank, none = self.rank, len(self.merged)
+        ranks = [rank.get(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
+        while ranks and (r := min(ranks)) < none:
+            i = ranks.index(r)
+            ids[i:i + 2] = [self.merged[r]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank.get(ids[i - 1] << 32 | ids[i], none)
+            if i < len(ranks):
+                ranks[i] = rank.get(ids[i] << 32 | ids[i + 1], none)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap of pairs over a linked list."""
-        n, rule = len(ids), self.rule
+        n, rank = len(ids), self.rank
         nxt, prv, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        heap = [(r[0], i, ids[i], ids[i + 1], r[1]) for i in range(n - 1)
-                if (r := rule.get((ids[i], ids[i + 1])))]
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1)
+                if (r := rank.get(ids[i] << 32 | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b, new = heapq.heappop(heap)
+            r, i, a, b = heapq.heappop(heap)
             j = nxt[i]
             if not alive[i] or j >= n or ids[i] != a or ids[j] != b:
                 continue
-            ids[i], alive[j], nxt[i] = new, False, nxt[j]
+            ids[i], alive[j], nxt[i] = self.merged[r], False, nxt[j]
             if nxt[j] < n:
                 prv[nxt[j]] = i
             for left, right in ((prv[i], i), (i, nxt[i])):
-                if left >= 0 and right < n and (r := rule.get((ids[left], ids[right]))):
-                    heapq.heappush(heap, (r[0], left, ids[left], ids[right], r[1]))
+                if left >= 0 and right < n:
+                    r = rank.get(ids[left] << 32 | ids[right])
+                    if r is not None:
+                        heapq.heappush(heap, (r, left, ids[left], ids[right]))
         return [x for x, ok in zip(ids, alive) if ok]
 
 
@@ -221,90 +227,144 @@ class Lexicon:
 # ---------------------------------------------------------------- encoder, decoder
 
 class Encoder:
-    """Texts to ids through a lexicon, exact merging behind it."""
+    """Texts to ids through a lexicon, exact merging behind it.
 
-    def __init__(self, vocab_path: str, lexicon: Lexicon):
+    In a text whose white space is single blanks and line feeds within words, a
+    pre-token never crosses from a blank's left to its right, so Arrow cuts such
+    texts before their blanks and only distinct stretches are looked at.  Other
+    texts, and texts with a special token, are cut by the pattern as a whole.
+    """
+
+    def __init__(self, vocab_path: str, lexicon: Lexicon | None):
         import regex
         self.find = regex.compile(BYTE_PATTERN).findall
-        self.merges = once_per_worker(("merges", vocab_path), lambda: Merges(vocab_path))
+        self.merges = Merges(vocab_path)
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.merges.special)) + ")")
+        self.odd = "|".join([r"^\s", r"\s$", r"\s\s", r"[^\S\n ]",
+                             *map(regex.escape, self.merges.special)])
         self.lexicon = lexicon
-        self.cache: dict[bytes, list[int]] = {}
-
-    def _pieces(self, text: str) -> list[str]:
+        self.unseen: dict[bytes, list[int]] = {}
+        self.known = Stretches()
+
+    def stretches(self, texts_):
+        """(stretches of regular texts as an Arrow list array, which texts are odd)."""
+        import pyarrow.compute as pc
+        texts_ = texts_.cast(pa.large_string())
+        ascii_odd = pc.match_substring_regex(texts_, self.odd)
+        # RE2's classes hold ASCII white space only; other white space is odd as well
+        wide = pc.match_substring_regex(
+            texts_, r"[\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+                    r"\x{202f}\x{205f}\x{3000}\x{0}]")
+        odd = pc.or_(ascii_odd, wide).to_numpy(zero_copy_only=False)
+        # a mark before each blank, then cut at the marks: blanks stay in front of words
+        marked = pc.replace_substring(texts_, " ", "\x00 ")
+        return pc.split_pattern(marked, "\x00"), odd
+
+    def pieces(self, text: str) -> list[str]:
+        """All pre-tokens of a text; a special token is marked by a leading NUL."""
         special = self.merges.special
         if not any(s in text for s in special):
             return self.find(text)
         out = []
         for part in self.special.split(text):
-            # a special token's id stands in a place of its own: marked by a NUL
             out += ["\0" + part] if part in special else self.find(part)
         return out
 
-    def encode(self, texts_: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in one array, number of ids per text)."""
+    def _merge_pieces(self, pieces: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all lists in one array, number of ids per list)."""
         special = {"\0" + s: [i] for s, i in self.merges.special.items()}
-        pieces = [self._pieces(t) for t in texts_]
         index: dict[str, int] = {}
+        n = np.fromiter(map(len, pieces), np.int64, len(pieces))
         at = np.fromiter((index.setdefault(w, len(index)) for p in pieces for w in p), np.int64,
-                         sum(map(len, pieces)))
+                         int(n.sum()))
         words = [w.encode("utf-8", "surrogatepass") for w in index]
-        number = self.lexicon.numbers(words)
         lex = self.lexicon
+        number = lex.numbers(words)
         known = number >= 0
-        own: list[list[int]] = []                  # ids of the words the lexicon lacks
         start, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
         start[known] = lex.ends[number[known]]
         size[known] = lex.ends[number[known] + 1] - start[known]
-        shown = list(index)
-        base = len(lex.ids)
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
+        shown, own, base = list(index), [], len(lex.ids)
+        if len(self.unseen) > CACHE_WORDS:
+            self.unseen.clear()
         for k in np.flatnonzero(~known):
             word = words[k]
-            ids = special.get(shown[k]) or self.cache.get(word)
+            ids = special.get(shown[k]) or self.unseen.get(word)
             if ids is None:
                 ids = self.merges.merge(word)
                 if len(word) <= LEXICON_BYTES:
-                    self.cache[word] = ids
+                    self.unseen[word] = ids
             start[k], size[k] = base, len(ids)
             base += len(ids)
-            own.append(ids)
-        flat = np.concatenate([lex.ids, np.array([i for x in own for i in x], np.int64)])
-        n = size[at]
-        ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(start[at] - (ends - n), n) + np.arange(total)]
-        upto = np.r_[0, ends][np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))]
-        return ids, np.diff(np.r_[0, upto])
-
-
-def count_words(docs: DataFrame) -> DataFrame:
+            own += ids
+        flat = np.concatenate([lex.ids, np.array(own, np.int64)])
+        size = size[at]
+        upto = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(n)]]
+        return gather(flat, start[at], size).astype(np.uint32), np.diff(upto)
+
+    def encode(self, texts_) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in one array, number of ids per text); ``texts_`` is an
+        Arrow string array without nulls."""
+        import pyarrow.compute as pc
+        lists, odd = self.stretches(texts_)
+        if len(self.known.index) > CACHE_WORDS:
+            self.known = Stretches()
+        regular = lists.filter(pa.array(~odd))
+        coded = regular.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        known = self.known.index
+        new = [w for w in distinct if w not in known]
+        if new:
+            self.known.add(new, *self._merge_pieces([self.find(w) for w in new]))
+        at = self.known.places(distinct, len(distinct))[coded.indices.to_numpy()]
+        size = self.known.size[at]
+        n = pc.list_value_length(regular).to_numpy(zero_copy_only=False)
+        upto = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(n)]]
+        ids, per_text = gather(self.known.flat, self.known.start[at], size), np.diff(upto)
+        if not odd.any():
+            return ids, per_text
+        others = texts_.filter(pa.array(odd)).to_pylist()
+        more, n_more = self._merge_pieces([self.pieces(t) for t in others])
+        # put both kinds back in the order of the texts
+        count = np.empty(len(odd), np.int64)
+        begin = np.empty(len(odd), np.int64)
+        count[~odd], count[odd] = per_text, n_more
+        begin[~odd] = np.cumsum(per_text) - per_text
+        begin[odd] = len(ids) + np.cumsum(n_more) - n_more
+        return gather(np.concatenate([ids, more]), begin, count), count
+
+
+def count_words(docs: DataFrame, vocab_path: str) -> DataFrame:
     """(word binary, n): all pre-tokens of all documents of at most
     ``LEXICON_BYTES`` bytes, counted per batch and then added up."""
     def count(batches):
         from collections import Counter
-        import regex
-        find = regex.compile(BYTE_PATTERN).findall
+        import pyarrow.compute as pc
+        cutter = once_per_worker("cutter", vocab_path, lambda: Encoder(vocab_path, None))
         for batch in batches:
-            n: Counter = Counter()
-            for lo in range(0, batch.num_rows, BATCH_TEXTS):
-                for t in batch.column("text").slice(lo, BATCH_TEXTS).to_pylist():
-                    n.update(find(t))
-            words = [w.encode("utf-8", "surrogatepass") for w in n]
-            keep = [len(w) <= LEXICON_BYTES for w in words]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w for w, k in zip(words, keep) if k], pa.binary()),
-                 pa.array([c for c, k in zip(n.values(), keep) if k], pa.int64())],
-                names=["word", "n"])
+            for lo in range(0, batch.num_rows, COUNT_TEXTS):
+                b = batch.column("text").slice(lo, COUNT_TEXTS)
+                lists, odd = cutter.stretches(b)
+                met: Counter = Counter()
+                for pair in pc.value_counts(lists.filter(pa.array(~odd)).flatten()).to_pylist():
+                    for w in cutter.find(pair["values"]):
+                        met[w] += pair["counts"]
+                for t in b.filter(pa.array(odd)).to_pylist():
+                    met.update(cutter.pieces(t))
+                words = [w.encode("utf-8", "surrogatepass") for w in met]
+                keep = [0 < len(w) <= LEXICON_BYTES for w in words]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([w for w, k in zip(words, keep) if k], pa.binary()),
+                     pa.array([c for c, k in zip(met.values(), keep) if k], pa.int64())],
+                    names=["word", "n"])
     return (texts(docs).select("text").mapInArrow(count, "word binary, n long")
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS) -> list[bytes]:
+def frequent_words(docs: DataFrame, vocab_path: str, most: int = LEXICON_WORDS) -> list[bytes]:
     """Words met twice or more, as frequent as keeps their number within ``most``."""
     grade = F.floor(F.log2(F.col("n").cast("double")) * 16).cast("int")
-    counts = written(count_words(docs).filter("n >= 2").withColumn("grade", grade), "words")
+    counts = written(count_words(docs, vocab_path).filter("n >= 2").withColumn("grade", grade), "words")
     least, room = math.inf, most
     for r in sorted(counts.groupBy("grade").count().collect(), reverse=True):  # <= 1024 rows
         if r["count"] > room:
@@ -331,52 +391,68 @@ def share_lexicon(spark, data: bytes) -> str:
     return name
 
 
-def encode(docs: DataFrame, vocab_path: str | None = None, most: int = LEXICON_WORDS) -> DataFrame:
-    """(doc_id, ids array<int>) of every document."""
-    vocab_path = vocab_path or vocabulary_path("byte_bpe_50k.json")
-    spark = docs.sparkSession
+def lexicon_for(docs: DataFrame, vocab_path: str, most: int = LEXICON_WORDS) -> str:
+    """Compile the documents' frequent words and share the file; returns its name."""
     merges = Merges(vocab_path)
-    name = share_lexicon(spark, compile_lexicon(
-        {w: merges.merge(w) for w in frequent_words(docs, most)}))
+    return share_lexicon(docs.sparkSession, compile_lexicon(
+        {w: merges.merge(w) for w in frequent_words(docs, vocab_path, most)}))
+
+
+def _encoded(docs: DataFrame, vocab_path: str | None, most: int, decoded: bool) -> DataFrame:
+    vocab_path = vocab_path or vocabulary_path("byte_bpe_50k.json")
+    name = lexicon_for(docs, vocab_path, most)
     docs = texts(docs)
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("ids", T.ArrayType(
-        T.IntegerType(), False))])
+    fields = [docs.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType(), False))]
+    if decoded:
+        fields.append(T.StructField("decoded", T.StringType()))
 
     def run(batches):
-        encoder = once_per_worker(("transducer", name), lambda: Encoder(
+        encoder = once_per_worker("transducer", name, lambda: Encoder(
             vocab_path, Lexicon.open(SparkFiles.get(name))))
         for batch in batches:
             for lo in range(0, batch.num_rows, BATCH_TEXTS):
                 b = batch.slice(lo, BATCH_TEXTS)
-                flat, size = encoder.encode(b.column("text").to_pylist())
-                ids = pa.ListArray.from_arrays(
-                    pa.array(np.r_[0, np.cumsum(size)], pa.int32()),
-                    pa.array(flat, pa.int32()))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids], names=["doc_id", "ids"])
+                flat, size = encoder.encode(b.column("text"))
+                upto = np.r_[0, np.cumsum(size)]
+                cols = [b.column("doc_id"), pa.ListArray.from_arrays(
+                    pa.array(upto, pa.int32()), pa.array(flat.astype(np.int32)))]
+                if decoded:
+                    cols.append(pa.array([spell(flat[x:y], encoder.merges.bytes_of)
+                                          for x, y in zip(upto[:-1], upto[1:])], pa.string()))
+                yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, T.StructType(fields))
 
 
-def decoder(vocab_path: str | None = None):
-    """A pandas UDF ids -> text; bytes that are no UTF-8 become U+FFFD."""
-    vocab_path = vocab_path or vocabulary_path("byte_bpe_50k.json")
+def encode(docs: DataFrame, vocab_path: str | None = None, most: int = LEXICON_WORDS) -> DataFrame:
+    """(doc_id, ids array<int>) of every document."""
+    return _encoded(docs, vocab_path, most, decoded=False)
 
-    @F.pandas_udf("string")
-    def run(ids: pd.Series) -> pd.Series:
-        table = once_per_worker(("merges", vocab_path), lambda: Merges(vocab_path)).bytes_of
-        return ids.map(lambda x: b"".join([table[i] for i in x.tolist()])
-                       .decode("utf-8", "replace"))
-    return run
+
+def round_trip(docs: DataFrame, vocab_path: str | None = None,
+               most: int = LEXICON_WORDS) -> DataFrame:
+    """(doc_id, ids, decoded): the ids of every document, and what they decode to."""
+    return _encoded(docs, vocab_path, most, decoded=True)
+
+
+def spell(ids: np.ndarray, bytes_of: list[bytes]) -> str:
+    """The text of some ids; bytes that are no UTF-8 become U+FFFD."""
+    return b"".join([bytes_of[i] for i in ids.tolist()]).decode("utf-8", "replace")
 
 
 def decode(encoded: DataFrame, vocab_path: str | None = None) -> DataFrame:
     """``encoded`` (with ids) and its ``text``."""
-    return encoded.withColumn("text", decoder(vocab_path)("ids"))
+    vocab_path = vocab_path or vocabulary_path("byte_bpe_50k.json")
+
+    @F.pandas_udf("string")
+    def run(ids: pd.Series) -> pd.Series:
+        table = once_per_worker("merges", vocab_path, lambda: Merges(vocab_path)).bytes_of
+        return ids.map(lambda x: spell(x, table))
+    return encoded.withColumn("text", run("ids"))
 
 
 def op8_transducer_bpe(spark, sf_dir: str) -> DataFrame:
-    back = decode(encode(documents(spark, sf_dir)))
-    return back.select(
+    return round_trip(documents(spark, sf_dir)).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(F.col("text"), 256).alias("decoded_sha256"))
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

@@ -25,16 +25,17 @@ BYTE_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
 _CACHE_MODULE = "_tastemesh_worker_cache"
 
 
-def once_per_worker(key: tuple, make):
-    """``make()``, kept under ``key`` for the life of this Python process.
+def once_per_worker(kind: str, name: str, make):
+    """``make()``, kept for the life of this Python process, one per ``kind``: another
+    ``name`` replaces it.
 
     Functions of this package reach Python workers by value, so their module
     globals are made anew for every task; an entry of ``sys.modules`` stays.
     """
     kept = sys.modules.setdefault(_CACHE_MODULE, types.ModuleType(_CACHE_MODULE)).__dict__
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    if kept.get(kind, (None,))[0] != name:
+        kept[kind] = (name, make())
+    return kept[kind][1]
 
 
 def vocabulary_path(name: str) -> str:
@@ -73,7 +74,7 @@ def hf_tokenizer(path: str):
         tok.no_truncation()
         tok.no_padding()
         return tok
-    return once_per_worker(("hf", path), make)
+    return once_per_worker(f"hf {path}", path, make)
 
 
 def byte_encoder(path: str):
@@ -88,7 +89,7 @@ def byte_encoder(path: str):
         ranks, special = byte_vocabulary(path)
         return tiktoken.Encoding("byte_bpe", pat_str=BYTE_PATTERN, mergeable_ranks=ranks,
                                  special_tokens=special)
-    enc = once_per_worker(("tiktoken", path), make)
+    enc = once_per_worker("tiktoken", path, make)
 
     def encode(text: str) -> np.ndarray:
         try:
@@ -99,14 +100,14 @@ def byte_encoder(path: str):
     return encode
 
 
-def _gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The stretches ``flat[start:start + size]``, one behind the other."""
     ends = np.cumsum(size)
     total = int(ends[-1]) if len(ends) else 0
     return flat[np.repeat(start - (ends - size), size) + np.arange(total)]
 
 
-class _Stretches:
+class Stretches:
     """Keys with a stretch of ids each, in flat arrays."""
 
     def __init__(self):
@@ -150,11 +151,11 @@ class WordEncoder:
         end, vocab = spec["model"]["end_of_word_suffix"], spec["model"]["vocab"]
         self.closes = np.zeros(1 + max(vocab.values()), bool)
         self.closes[[i for t, i in vocab.items() if t.endswith(end)]] = True
-        self.words, self.units = _Stretches(), _Stretches()
+        self.words, self.units = Stretches(), Stretches()
         self._no_units()
 
     def _no_units(self) -> None:
-        self.units = _Stretches()
+        self.units = Stretches()
         self.units.add([" "], np.zeros(0, np.uint32), np.zeros(1, np.int64))
 
     def _plain(self, text: str) -> bool:
@@ -180,7 +181,7 @@ class WordEncoder:
             at = self.units.places(units, len(units))
             size = self.units.size[at]
             upto = np.cumsum(size)[np.flatnonzero(at == 0)]     # at the blank behind a word
-            self.words.add(plain, _gather(self.units.flat, self.units.start[at], size),
+            self.words.add(plain, gather(self.units.flat, self.units.start[at], size),
                            np.diff(np.r_[0, upto]))
         other = [] if plain is words else [w for w in words if w not in self.words.index]
         if other:
@@ -196,7 +197,7 @@ class WordEncoder:
         import pyarrow as pa
         import pyarrow.compute as pc
         if len(self.words.index) > self.most_words:
-            self.words = _Stretches()
+            self.words = Stretches()
         if len(self.units.index) > self.most_units:
             self._no_units()
         lists = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "),
@@ -209,7 +210,7 @@ class WordEncoder:
             self._learn(new)
         at = self.words.places(distinct, len(distinct))[coded.indices.to_numpy()]
         size = self.words.size[at]
-        ids = _gather(self.words.flat, self.words.start[at], size)
+        ids = gather(self.words.flat, self.words.start[at], size)
         n = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
         upto = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(n)]]
         return ids, np.diff(upto)

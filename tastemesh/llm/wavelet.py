@@ -187,7 +187,7 @@ def shard_rows(docs: DataFrame, vocab_path: str, end_id: int = END_ID, bits: int
         T.StructField("matrix", T.BinaryType())])
 
     def build(batches):
-        encoder = once_per_worker(("words", vocab_path), lambda: WordEncoder(vocab_path))
+        encoder = once_per_worker("words", vocab_path, lambda: WordEncoder(vocab_path))
         shard, n, ids, lengths, doc_ids, part, kind = 0, 0, [], [], [], 0, None
 
         def close():
