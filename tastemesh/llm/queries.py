@@ -3,7 +3,7 @@ SQL for those that SQL can express."""
 
 from __future__ import annotations
 
-from tastemesh.llm import bagminhash, fertility, iblt, lines, packing, ring, transducer, wavelet
+from tastemesh.llm import bagminhash, fertility, iblt, lines, packing, ring, toolcalls, transducer, wavelet
 
 QUERIES = {f.__name__: f for f in (
     packing.op1_vector_best_fit_packing,
@@ -13,7 +13,10 @@ QUERIES = {f.__name__: f for f in (
     ring.op6_bounded_load_ring,
     lines.op7_rarity_prefix_line_dedup,
     transducer.op8_transducer_bpe,
+    toolcalls.op9_tool_call_linking,
     bagminhash.op10_bagminhash_near_dedup,
 )}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_tool_call_linking": toolcalls.OP9_SQL,
+}
