@@ -3,13 +3,14 @@ SQL for those that SQL can express."""
 
 from __future__ import annotations
 
-from tastemesh.llm import bagminhash, fertility, iblt, lines, packing, ring, toolcalls, transducer, wavelet
+from tastemesh.llm import bagminhash, fertility, iblt, lines, packing, ring, toolcalls, transducer, wavelet, weaklabel
 
 QUERIES = {f.__name__: f for f in (
     packing.op1_vector_best_fit_packing,
     iblt.op2_invertible_bloom_fingerprints,
     wavelet.op3_wavelet_matrix_shards,
     fertility.op4_tokeniser_fertility,
+    weaklabel.op5_weak_label_scorer,
     ring.op6_bounded_load_ring,
     lines.op7_rarity_prefix_line_dedup,
     transducer.op8_transducer_bpe,
