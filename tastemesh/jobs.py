@@ -4,7 +4,11 @@ Each job reads ``business`` / ``review`` / ``user`` through a :class:`Catalog`
 (any Spark data source), runs one recommender as a single plan, and writes its
 result tables with the sinks (append by default, as the original jobs did).
 
-    python -m tastemesh social --input /data/yelp --format json --output /out/rec
+    python -m tastemesh social --input /data/collections --format json --output /out/rec
+
+Jobs chain: what one writes, the next reads as its input (``OUT/business`` is a
+table of the root ``OUT``).  Each derived table that several results read is
+written once and read back.
 """
 
 from __future__ import annotations
@@ -22,6 +26,8 @@ from tastemesh.operators import preprocess as P
 from tastemesh.operators import social as SO
 from tastemesh.operators import text as TX
 from tastemesh.operators.hybrid import hybrid_recommendations
+from tastemesh.functions.strings import parse_id_list
+from tastemesh.session import cut_lineage
 from tastemesh.sources import sinks
 from tastemesh.sources.catalog import Catalog
 from tastemesh.sources.models import load_als, save_als
@@ -31,7 +37,9 @@ def preprocess_job(cat: Catalog, out: str, city: str = "Las Vegas",
                    category: str = "restaurants", mode: str = "append") -> None:
     """Filtered business / review / user tables and the review_context table."""
     b, r, u = cat.load("business"), cat.load("review"), cat.load("user")
-    bf, rf, uf = P.preprocess(b, r, u, city, category)
+    # the filtered businesses feed every other table: evaluated once
+    bf = cut_lineage(P.business_in_category(b, category, city), required=True)
+    rf, uf = P.cascade(bf, r, u)
     sinks.write_table(bf, f"{out}/business", mode=mode)
     sinks.write_table(rf, f"{out}/review", mode=mode)
     sinks.write_table(uf, f"{out}/user", mode=mode)
@@ -45,15 +53,15 @@ def topical_job(cat: Catalog, out: str, category: str = "restaurants", mode: str
 
 
 def collaborative_job(cat: Catalog, out: str, model_path: str, k: int = 10, seed: int = 42,
-                      mode: str = "append") -> float:
+                      mode: str = "append", num_blocks: int = CF.NUM_BLOCKS) -> float:
     """Index → split → ALS → RMSE → top-k lists; the model is saved with its
     indexes.  Returns the test RMSE."""
     r, u, b = cat.load("review"), cat.load("user"), cat.load("business")
     ui = IX.dense_index(u, "user_id", "user_idx")
     bi = IX.dense_index(b, "business_id", "business_idx")
-    triples = IX.rating_triples(r, ui, bi, keep=("review_id",))
+    triples = cut_lineage(IX.rating_triples(r, ui, bi, keep=("review_id",)), required=True)
     train, test = CF.train_test_split(triples, ["review_id"], seed=seed)
-    model = CF.fit(train, seed=seed)
+    model = CF.fit(train, seed=seed, num_blocks=num_blocks)
     rmse = CF.rmse(CF.predictions(model, test))
     save_als(model, ui, bi, model_path)
     recs = CF.with_string_ids(CF.recommend_exploded(model, k), ui, bi)
@@ -75,25 +83,43 @@ def business_vectors(review: DataFrame) -> DataFrame:
     over all its reviews' tokens.  The pipeline's count/IDF stages are not
     fitted here: the recommender reads only the word vectors."""
     toks = TX.tokens(review.select("review_id", "business_id", "text"))
-    w2v = TX.content_pipeline().getStages()[4].fit(toks)
+    w2v = TX.word2vec_stage().fit(toks)
     return TX.mean_word_vectors(toks, "business_id", TX.word_vectors(w2v))
 
 
 def content_job(cat: Catalog, out: str, k: int = 10, neighbours: int = 10,
                 vectors: DataFrame | None = None, mode: str = "append") -> None:
     """Content recommendations as ``(user_id, business_id 'id id id')`` lines
-    and as a ranked table with business details."""
+    and as a ranked table with business details.
+
+    Vectors and recommendations are tables of the output (``vectors``, ``recs``),
+    written once; lines and details are read off them."""
+    spark = cat.spark
     r, b = cat.load("review"), cat.load("business")
-    vec = vectors if vectors is not None else business_vectors(r)
-    recs = C.content_recommendations(r, b, vec, k=k, neighbours=neighbours)
+    if vectors is None:
+        made = business_vectors(r)
+        sinks.write_table(made, f"{out}/vectors", mode="overwrite")
+        vectors = spark.read.schema(made.schema).parquet(f"{out}/vectors")
+    made = C.content_recommendations(r, b, vectors, k=k, neighbours=neighbours)
+    sinks.write_table(made, f"{out}/recs", mode="overwrite")
+    recs = spark.read.schema(made.schema).parquet(f"{out}/recs")
     sinks.write_table(C.rec_lines(recs), f"{out}/lines", mode=mode)
     sinks.write_table(C.with_details(recs, b), f"{out}/details", mode=mode)
 
 
 def social_job(cat: Catalog, out: str, k: int = 10, levels: int = 3,
-               mode: str = "append") -> None:
-    """Social recommendations (user_id, business_id, top_reviews, rank)."""
-    recs = SO.social_pipeline(cat.load("user"), cat.load("review"), k=k, levels=levels)
+               mode: str = "append", city: str | None = None,
+               category: str | None = None) -> None:
+    """Social recommendations (user_id, business_id, top_reviews, rank).
+
+    With a city and a category the collections first pass the preprocessing
+    cascade: businesses, then their reviews, then the users who wrote them."""
+    u, r = cat.load("user"), cat.load("review")
+    if city and category:
+        bf = P.business_in_category(cat.load("business"), category, city)
+        r = P.semi_join(r, bf, "business_id")
+        u = P.semi_join(u, r, "user_id")
+    recs = SO.social_pipeline(u, r, k=k, levels=levels)
     sinks.write_table(recs, out, mode=mode)
 
 
@@ -101,13 +127,16 @@ def hybrid_job(spark: SparkSession, cat: Catalog, sources: dict[str, str], out:
                fmt: str = "parquet", mode: str = "append") -> None:
     """Tagged union of saved recommendation tables with business details.
 
-    ``sources`` maps a type name to a table of (user_id, business_id, rank);
-    list-shaped tables (business_id arrays) are exploded with their order.
+    ``sources`` maps a type name to a table of (user_id, business_id, rank).
+    Lists are exploded in their order: arrays of ids, and the stored text form
+    ``id id id`` of the content job's lines (a table without ranks).
     """
     parts = []
     for name, path in sources.items():
         df = spark.read.format(fmt).load(path)
-        if dict(df.dtypes).get("business_id", "").startswith("array"):
+        if "rank" not in df.columns:
+            if not dict(df.dtypes)["business_id"].startswith("array"):
+                df = df.withColumn("business_id", parse_id_list("business_id", " "))
             df = df.select("user_id", F.posexplode("business_id").alias("_p", "business_id")) \
                    .withColumn("rank", F.col("_p") + 1).drop("_p")
         parts.append((name, df))
@@ -122,27 +151,34 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--output", required=True)
     ap.add_argument("--mode", default="append", choices=["append", "overwrite"])
-    ap.add_argument("--city", default="Las Vegas")
-    ap.add_argument("--category", default="restaurants")
+    ap.add_argument("--suffix", default="", help="ending of table names, e.g. .parquet")
+    ap.add_argument("--city", default="Las Vegas",
+                    help="preprocess, social; empty: no city and category filter (social)")
+    ap.add_argument("--category", default="restaurants", help="preprocess, topical, social")
+    ap.add_argument("--blocks", type=int, default=CF.NUM_BLOCKS,
+                    help="ALS user and item blocks (collaborative)")
     ap.add_argument("--k", type=int, default=10)
     ap.add_argument("--model", help="ALS model folder (collaborative, model-recs)")
     ap.add_argument("--source", action="append", default=[],
                     help="hybrid input as type=path (repeatable, in order)")
     a = ap.parse_args(argv)
+    if a.job in ("collaborative", "model-recs") and not a.model:
+        ap.error(f"{a.job} needs --model")
     spark = SparkSession.builder.appName(f"tastemesh-{a.job}").getOrCreate()
     cat = Catalog(spark, a.input, fmt=a.format,
-                  schemas=SCHEMAS if a.format == "json" else {})
+                  schemas=SCHEMAS if a.format == "json" else {}, suffix=a.suffix)
     if a.job == "preprocess":
         preprocess_job(cat, a.output, a.city, a.category, a.mode)
     elif a.job == "topical":
         topical_job(cat, a.output, a.category, a.mode)
     elif a.job == "collaborative":
-        print("rmse", collaborative_job(cat, a.output, a.model, a.k, mode=a.mode))
+        print("rmse", collaborative_job(cat, a.output, a.model, a.k, mode=a.mode,
+                                        num_blocks=a.blocks))
     elif a.job == "model-recs":
         model_recommendations_job(spark, a.model, a.output, a.k, a.mode)
     elif a.job == "content":
         content_job(cat, a.output, a.k, mode=a.mode)
     elif a.job == "social":
-        social_job(cat, a.output, a.k, mode=a.mode)
+        social_job(cat, a.output, a.k, mode=a.mode, city=a.city, category=a.category)
     elif a.job == "hybrid":
         hybrid_job(spark, cat, dict(s.split("=", 1) for s in a.source), a.output, mode=a.mode)

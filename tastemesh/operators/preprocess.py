@@ -83,10 +83,14 @@ def preprocess(business: DataFrame, review: DataFrame, user: DataFrame, city: st
     as the cascade in the reference does.
     """
     bf = business_in_category(business, category, city, trim)
-    rf = semi_join(review, bf, "business_id")
-    uf = semi_join(user, rf, "user_id")
-    rf_clean = with_global_average(drop_malformed_stars(rf))
-    return bf, rf_clean, uf
+    return (bf, *cascade(bf, review, user))
+
+
+def cascade(business_filter: DataFrame, review: DataFrame,
+            user: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(review_filter, user_filter) of already filtered businesses."""
+    rf = semi_join(review, business_filter, "business_id")
+    return with_global_average(drop_malformed_stars(rf)), semi_join(user, rf, "user_id")
 
 
 def review_context(review: DataFrame, business_filter: DataFrame, city: str) -> DataFrame:

@@ -14,6 +14,7 @@ from tastemesh.operators import social
 from tastemesh.operators import text as TX
 from tastemesh.plans.registry import query
 from tastemesh.plans.social_queries import SOCIAL_CTES
+from tastemesh.session import cut_lineage
 from tastemesh.sources.testdata import TestTables
 
 # --------------------------------------------------------------- indexes ---
@@ -26,9 +27,12 @@ business_index AS (SELECT business_id,
                    FROM business_details)"""
 
 
-def _indexes(t: TestTables):
-    return (IX.dense_index(t.user_friends, "user_id", "user_idx"),
-            IX.dense_index(t.business_details, "business_id", "business_idx"))
+def _user_index(t: TestTables):
+    return IX.dense_index(t.user_friends, "user_id", "user_idx")
+
+
+def _business_index(t: TestTables):
+    return IX.dense_index(t.business_details, "business_id", "business_idx")
 
 
 @query("dense_index", views=("users", "business_details"), sql=_IDX_SQL + """
@@ -42,8 +46,8 @@ SELECT u.user_id, u.name, u.review_count, u.friends, i.user_idx
 FROM users u JOIN user_index i ON u.user_id = i.user_id""")
 def user_with_index(spark, sf_dir):
     t = TestTables(spark, sf_dir)
-    ui, _ = _indexes(t)
-    return IX.attach_index(t.user.select("user_id", "name", "review_count", "friends"), ui, "user_id")
+    return IX.attach_index(t.user.select("user_id", "name", "review_count", "friends"),
+                           _user_index(t), "user_id")
 
 
 @query("business_with_index", views=("users", "business_details"), sql=_IDX_SQL + """
@@ -51,9 +55,8 @@ SELECT b.business_id, b.name, b.city, i.business_idx
 FROM business_details b JOIN business_index i ON b.business_id = i.business_id""")
 def business_with_index(spark, sf_dir):
     t = TestTables(spark, sf_dir)
-    _, bi = _indexes(t)
-    return IX.attach_index(t.business_details.select("business_id", "name", "city"), bi,
-                           "business_id")
+    return IX.attach_index(t.business_details.select("business_id", "name", "city"),
+                           _business_index(t), "business_id")
 
 
 @query("rating_triples", views=("users", "business_details", "review_raw"), sql=_IDX_SQL + """
@@ -62,8 +65,7 @@ FROM review_raw r JOIN user_index u ON r.user_id = u.user_id
                   JOIN business_index b ON r.business_id = b.business_id""")
 def rating_triples(spark, sf_dir):
     t = TestTables(spark, sf_dir)
-    ui, bi = _indexes(t)
-    return IX.rating_triples(t.review_raw, ui, bi)
+    return IX.rating_triples(t.review_raw, _user_index(t), _business_index(t))
 
 
 # ------------------------------------------------------------------ text ---
@@ -73,9 +75,7 @@ _TOKS = r"regexp_extract_all(lower(coalesce(text, '')), '\w+')"
 _TERMS_SQL = f"""
 , toks AS (SELECT doc_id, unnest({_TOKS}) AS term FROM documents),
 kept AS (SELECT * FROM toks WHERE term NOT IN (SELECT w FROM stop_words)),
-tf0 AS (SELECT doc_id, term, count(*) AS tf FROM kept GROUP BY doc_id, term),
-vocab AS (SELECT term FROM tf0 GROUP BY term ORDER BY sum(tf) DESC, term LIMIT {TX.VOCAB_SIZE}),
-tf AS (SELECT * FROM tf0 WHERE term IN (SELECT term FROM vocab))"""
+tf AS (SELECT doc_id, term, count(*) AS tf FROM kept GROUP BY doc_id, term)"""
 
 
 def _doc_tokens(t: TestTables):
@@ -103,8 +103,7 @@ def remove_stopwords_counts(spark, sf_dir):
 @query("term_frequency", views=("stop_words",), sql=_TERMS_SQL + """
 SELECT doc_id, term, tf FROM tf""")
 def term_frequency(spark, sf_dir):
-    tf = TX.materialized_term_counts(_doc_tokens(TestTables(spark, sf_dir)), "doc_id")
-    return TX.cap_vocabulary(tf)
+    return TX.term_counts(_doc_tokens(TestTables(spark, sf_dir)), "doc_id")
 
 
 @query("tfidf", views=("stop_words",), sql=_TERMS_SQL + """,
@@ -131,7 +130,7 @@ def business_term_counts(spark, sf_dir):
 
 
 def _fit_pipeline(t: TestTables) -> PipelineModel:
-    return TX.content_pipeline().fit(t.documents)
+    return TX.content_pipeline().fit(TX.non_null_texts(t.documents))
 
 
 @query("word2vec_vectors")
@@ -139,17 +138,45 @@ def word2vec_vectors(spark, sf_dir):
     """Six-stage pipeline fitted on the documents; word vector per document."""
     t = TestTables(spark, sf_dir)
     model = _fit_pipeline(t)
-    return model.transform(t.documents).select("doc_id", to_array("word_vec").alias("word_vec"))
+    return model.transform(TX.non_null_texts(t.documents)).select(
+        "doc_id", to_array("word_vec").alias("word_vec"))
+
+
+def _tfidf_norms(t: TestTables):
+    tf = TX.materialized_term_counts(_doc_tokens(t), "doc_id")
+    m = t.documents.agg(F.count(F.lit(1))).scalar()
+    return tf, TX.tfidf_norms(TX.tfidf(tf, m, "doc_id"), "doc_id")
+
+
+@query("tfidf_norms", views=("stop_words",), sql=_TERMS_SQL + """,
+dfreq AS (SELECT term, count(*) AS df FROM tf GROUP BY term)
+SELECT tf.doc_id, count(*) AS n_terms,
+       round(sqrt(sum((tf.tf * ln(((SELECT count(*) FROM documents) + 1.0) / (dfreq.df + 1.0)))
+                      ** 2)), 6) AS norm
+FROM tf JOIN dfreq ON tf.term = dfreq.term GROUP BY tf.doc_id""")
+def tfidf_norms(spark, sf_dir):
+    """The TF-IDF part of the assembled vector: its terms and norm per document."""
+    _, norms = _tfidf_norms(TestTables(spark, sf_dir))
+    return norms.select("doc_id", "n_terms", F.round(F.sqrt("squares"), 6).alias("norm"))
 
 
 @query("content_full_vector")
 def content_full_vector(spark, sf_dir):
-    """Assembled TF-IDF + word vector per document (M12): its size and norm."""
+    """Size and norm of the assembled TF-IDF + word vector per document (M12), from
+    the relational TF-IDF rows and the mean word vectors; no vector as wide as
+    the vocabulary is ever built."""
     t = TestTables(spark, sf_dir)
-    out = _fit_pipeline(t).transform(t.documents)
-    arr = to_array("full_vec")
-    return out.select("doc_id", F.size(arr).alias("size"),
-                      F.sqrt(F.aggregate(arr, F.lit(0.0), lambda a, v: a + v * v)).alias("norm"))
+    tf, norms = _tfidf_norms(t)
+    toks = _doc_tokens(t)
+    w2v = TX.word2vec_stage().fit(toks)
+    words = TX.mean_word_vectors(toks, "doc_id", TX.word_vectors(w2v)).select(
+        "doc_id", F.aggregate("vector", F.lit(0.0), lambda a, v: a + v * v).alias("w"))
+    n_terms = tf.agg(F.countDistinct("term")).scalar()
+    both = (t.documents.select("doc_id").join(norms, "doc_id", "left")
+            .join(words, "doc_id", "left"))
+    zero = F.lit(0.0)
+    return both.select("doc_id", (n_terms + TX.W2V_SIZE).cast("int").alias("size"),
+                       F.sqrt(F.coalesce("squares", zero) + F.coalesce("w", zero)).alias("norm"))
 
 
 @query("content_vectors_from_saved_model")
@@ -160,15 +187,15 @@ def content_vectors_from_saved_model(spark, sf_dir):
     path = CF.model_path(spark, "content-pipeline")
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
-    return loaded.transform(t.documents).select("doc_id", to_array("word_vec").alias("word_vec"))
+    return loaded.transform(TX.non_null_texts(t.documents)).select(
+        "doc_id", to_array("word_vec").alias("word_vec"))
 
 
 @query("business_word_vectors")
 def business_word_vectors(spark, sf_dir):
     """Mean word vector per business over all its reviews' tokens."""
     t = TestTables(spark, sf_dir)
-    model = _fit_pipeline(t)
-    w2v = model.stages[4]
+    w2v = TX.word2vec_stage().fit(_doc_tokens(t))
     rt = TX.tokens(t.review_text.select("business_id", "text"))
     return TX.mean_word_vectors(rt, "business_id", TX.word_vectors(w2v))
 
@@ -176,8 +203,9 @@ def business_word_vectors(spark, sf_dir):
 # --------------------------------------------------------- collaborative ---
 
 def _triples(t: TestTables):
-    ui, bi = _indexes(t)
-    tr = IX.rating_triples(t.review, ui, bi, keep=("review_id",))
+    ui, bi = _user_index(t), _business_index(t)
+    # train and test parts read the triples: they are written once
+    tr = cut_lineage(IX.rating_triples(t.review, ui, bi, keep=("review_id",)), required=True)
     return tr, ui, bi
 
 

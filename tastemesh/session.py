@@ -22,6 +22,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoints go when the tables that read them are no longer in use
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -28,12 +28,10 @@ class Catalog:
     # per-table option overrides, e.g. {"review": {"collection": "review"}}
     table_options: dict = field(default_factory=dict)
     schemas: dict = field(default_factory=dict)
-    suffix: str | None = None
+    suffix: str = ""  # e.g. ".parquet" for roots that hold files of that name
 
     def path(self, name: str) -> str:
-        suffix = self.suffix if self.suffix is not None else (
-            f".{self.fmt}" if self.fmt in ("parquet", "orc") else "")
-        return f"{self.root.rstrip('/')}/{name}{suffix}"
+        return f"{self.root.rstrip('/')}/{name}{self.suffix}"
 
     def load(self, name: str) -> DataFrame:
         reader = self.spark.read.format(self.fmt).options(**self.options)

@@ -42,24 +42,14 @@ class TestTables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def raw_spread(self, name: str) -> DataFrame:
-        """A scan whose rows feed CPU-heavy per-row work (tokenising text).
-
-        The driver writes every table as one parquet row group, which only
-        one task can read, so all per-row work after the scan would run in
-        a single task.  Such a file is spread round-robin over the session's
-        parallelism right after the scan.  Production inputs come as many
-        files / row groups and are read in parallel as they are.
+    def raw_texts(self) -> DataFrame:
+        """The documents, dealt by doc_id.
+
+        Every table comes as one row group, which one task reads; texts are dealt
+        once so that the work on them is spread.  The deal depends on doc_id and
+        the session's shuffle partitions alone.
         """
-        df = self.raw(name)
-        path = f"{self.sf_dir}/{name}.parquet"
-        try:
-            import pyarrow.parquet as pq
-            groups = pq.ParquetFile(path).metadata.num_row_groups
-        except Exception:  # not a local file: leave the scan as it is
-            return df
-        parallelism = self.spark.sparkContext.defaultParallelism
-        return df.repartition(parallelism) if groups < parallelism else df
+        return self.raw("documents").select("doc_id", "text").repartition("doc_id")
 
     # -- review -----------------------------------------------------------
     def _review_rows(self) -> DataFrame:
@@ -161,7 +151,7 @@ class TestTables:
     @cached_property
     def review_text(self) -> DataFrame:
         n_parts = self.raw("part").agg(F.count(F.lit(1))).scalar()
-        d = self.raw_spread("documents").select("doc_id", "text")
+        d = self.raw_texts()
         return d.select(
             F.col("doc_id").alias("review_id"),
             (F.col("doc_id") % F.floor(n_parts / F.lit(10))).alias("business_id"),
@@ -169,7 +159,7 @@ class TestTables:
 
     @cached_property
     def documents(self) -> DataFrame:
-        return self.raw_spread("documents").select("doc_id", "text")
+        return self.raw_texts()
 
     @cached_property
     def item_vectors(self) -> DataFrame:

@@ -101,7 +101,7 @@ def test_content_equals_python(spark, seed):
     r_df = spark.createDataFrame(reviews, "user_id string, business_id long, stars double")
     b_df = spark.createDataFrame([(i,) for i in range(30)], "business_id long")
     v_df = spark.createDataFrame(list(vecs.items()), "business_id long, vector array<double>")
-    got = C.content_recommendations(r_df, b_df, v_df, k=3, neighbours=4, block_size=8)
+    got = C.content_recommendations(r_df, b_df, v_df, k=3, neighbours=4, block_size=8, digits=9)
     got = sorted((r.user_id, r.business_id, round(r.score, 9), r.rank) for r in got.collect())
     assert got == _py_content(reviews, vecs, k=3, nb=4)
 

@@ -25,7 +25,7 @@ def test_catalog_parquet_and_append(spark, tmp_path):
     df = spark.createDataFrame([("x", 1)], "k string, v int")
     sinks.write_table(df, str(tmp_path / "t.parquet"))
     sinks.write_table(df, str(tmp_path / "t.parquet"))
-    assert Catalog(spark, str(tmp_path)).load("t").count() == 2
+    assert Catalog(spark, str(tmp_path), suffix=".parquet").load("t").count() == 2
 
 
 def test_json_collection_import_and_stream_ingest(spark, tmp_path):

@@ -15,9 +15,9 @@ WORDS = ["tasty", "pizza", "slow", "service", "great", "noodle", "spicy", "cheap
 
 
 @pytest.fixture(scope="module")
-def yelp_root(tmp_path_factory):
+def collections_root(tmp_path_factory):
     rnd = random.Random(5)
-    root = tmp_path_factory.mktemp("yelp")
+    root = tmp_path_factory.mktemp("collections")
     cities = ["Las Vegas", "Las Vegas", "Reno"]
     cats = ["Food, Restaurants", "Restaurants", "Bars", "restaurants,Bars", None]
     biz = [{"business_id": f"b{i}", "name": f"Place {i}", "city": cities[i % 3],
@@ -42,8 +42,8 @@ def yelp_root(tmp_path_factory):
     return str(root)
 
 
-def test_all_jobs_run_on_string_ids(spark, yelp_root, tmp_path):
-    cat = Catalog(spark, yelp_root, fmt="json", schemas=SCHEMAS)
+def test_all_jobs_run_on_string_ids(spark, collections_root, tmp_path):
+    cat = Catalog(spark, collections_root, fmt="json", schemas=SCHEMAS)
     out = str(tmp_path)
     jobs.preprocess_job(cat, f"{out}/pre")
     assert spark.read.parquet(f"{out}/pre/business").count() > 0
@@ -76,6 +76,39 @@ def test_all_jobs_run_on_string_ids(spark, yelp_root, tmp_path):
     assert {r.type for r in hy.select("type").distinct().collect()} == {"collaborative", "social"}
 
 
-def test_cli_runs_social(spark, yelp_root, tmp_path):
-    jobs.main(["social", "--input", yelp_root, "--format", "json", "--output", str(tmp_path / "s")])
+def test_jobs_chain_through_the_command_line(spark, collections_root, tmp_path):
+    out = str(tmp_path)
+    jobs.main(["preprocess", "--input", collections_root, "--format", "json",
+               "--output", f"{out}/pre"])
+    jobs.main(["collaborative", "--input", f"{out}/pre", "--output", f"{out}/collab",
+               "--model", f"{out}/model"])
+    jobs.main(["content", "--input", f"{out}/pre", "--output", f"{out}/content"])
+    jobs.main(["social", "--input", collections_root, "--format", "json",
+               "--output", f"{out}/social"])
+    jobs.main(["hybrid", "--input", f"{out}/pre", "--output", f"{out}/hybrid",
+               "--source", f"collaborative={out}/collab",
+               "--source", f"context={out}/content/lines",
+               "--source", f"social={out}/social"])
+    hy = spark.read.parquet(f"{out}/hybrid")
+    got = {(r.type, r.type_order) for r in hy.select("type", "type_order").distinct().collect()}
+    assert got == {("collaborative", 0), ("context", 1), ("social", 2)}
+    # the context list reads back in its stored order
+    recs = {(r.user_id, r.rank, r.business_id)
+            for r in spark.read.parquet(f"{out}/content/recs").collect()}
+    back = {(r.user_id, r["rank"], r.business_id)
+            for r in hy.filter("type = 'context'").collect()}
+    assert back == recs
+    # the social job honours its filters: only businesses of the cascade come out
+    kept = {r.business_id for r in spark.read.parquet(f"{out}/pre/business").collect()}
+    assert {r.business_id for r in spark.read.parquet(f"{out}/social").collect()} <= kept
+
+
+def test_model_argument_is_asked_for_at_once(collections_root, tmp_path):
+    with pytest.raises(SystemExit):
+        jobs.main(["collaborative", "--input", collections_root, "--output", str(tmp_path)])
+
+
+def test_cli_runs_social(spark, collections_root, tmp_path):
+    jobs.main(["social", "--input", collections_root, "--format", "json", "--city", "",
+               "--output", str(tmp_path / "s")])
     assert spark.read.parquet(str(tmp_path / "s")).count() > 0

@@ -72,15 +72,30 @@ def test_hot_friend_join_is_split_by_aqe(spark, capsys):
     assert got == plain and len(got) == (n_users - 1) * 10
 
 
-def test_vocabulary_cap_has_no_single_task_limit_and_broadcast_idf(spark):
+def test_tfidf_plans_without_hints_and_without_a_cap(spark):
     from tastemesh.operators import text as TX
     docs = spark.createDataFrame([(i, f"w{i % 7} w{i % 11} common") for i in range(200)],
                                  "doc_id long, text string")
     tf = TX.term_counts(TX.tokens(docs), "doc_id")
     with _conf(spark, **{"spark.sql.adaptive.enabled": "false",
                          "spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        plan = _plan(spark, TX.tfidf(tf, F.lit(200), "doc_id", vocab_size=5))
-    assert "TakeOrderedAndProject" not in plan
-    # (doc, term) rows meet the capped idf table in a broadcast join, not a
-    # shuffle by term (AQE off and size-based broadcast off: the hint alone)
-    assert "BroadcastHashJoin" in plan
+        whole = _plan(spark, TX.tfidf(tf, F.lit(200), "doc_id"))
+        capped = _plan(spark, TX.tfidf(tf, F.lit(200), "doc_id", vocab_size=5))
+    assert "TakeOrderedAndProject" not in whole and "TakeOrderedAndProject" not in capped
+    assert "BroadcastHashJoin" not in whole        # no hint: the size decides
+    assert "rangepartitioning" not in whole        # no global sort where nothing is cut
+    assert len(TX.tfidf(tf, F.lit(200), "doc_id").select("term").distinct().collect()) == 19
+
+
+def test_als_is_independent_of_the_core_count(spark):
+    """The same blocks whatever the session's parallelism: equal recommendations from
+    differently partitioned input."""
+    from tastemesh.operators import collaborative as CF
+    rows = [(u, (u * 7 + i * 3) % 25, float((u + i) % 5 + 1)) for u in range(40) for i in range(8)]
+    df = spark.createDataFrame(rows, "user_idx int, business_idx int, rating float")
+    assert CF.als(num_blocks=CF.NUM_BLOCKS).getNumUserBlocks() == 10
+
+    def recs(n):
+        model = CF.fit(df.repartition(n, "user_idx").sortWithinPartitions("user_idx", "business_idx"))
+        return {(r.user_idx, r.business_idx) for r in CF.recommend_exploded(model, 5).collect()}
+    assert recs(2) == recs(16)
