@@ -84,7 +84,7 @@ def test_tfidf_plans_without_hints_and_without_a_cap(spark):
     assert "TakeOrderedAndProject" not in whole and "TakeOrderedAndProject" not in capped
     assert "BroadcastHashJoin" not in whole        # no hint: the size decides
     assert "rangepartitioning" not in whole        # no global sort where nothing is cut
-    assert len(TX.tfidf(tf, F.lit(200), "doc_id").select("term").distinct().collect()) == 19
+    assert len(TX.tfidf(tf, F.lit(200), "doc_id").select("term").distinct().collect()) == 12
 
 
 def test_als_is_independent_of_the_core_count(spark):
