@@ -139,9 +139,17 @@ class WordEncoder:
     its offsets.  Past ``most_words`` and ``most_units`` the caches are emptied.
     """
 
-    def __init__(self, path: str, most_words: int = 300_000, most_units: int = 800_000):
+    def __init__(self, path: str, most_words: int = 1_000_000,
+                 most_units: int = 1_000_000):
         import regex
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tok, self.most_words, self.most_units = hf_tokenizer(path), most_words, most_units
+        # the same model for units, which are normalised and cut already
+        self.cut_tok = Tokenizer.from_file(path)
+        self.cut_tok.normalizer = normalizers.Sequence([])
+        self.cut_tok.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(" ", "removed"),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         split = spec["pre_tokenizer"]["pretokenizers"][0]
@@ -163,7 +171,7 @@ class WordEncoder:
                 and (text.isascii() or unicodedata.is_normalized("NFC", text)))
 
     def _learn_units(self, units: list[str]) -> None:
-        enc = self.tok.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0]
+        enc = self.cut_tok.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0]
         ids = np.array(enc.ids, dtype=np.uint32)
         ends = np.flatnonzero(self.closes[ids]) + 1
         if len(ends) != len(units):

@@ -59,7 +59,7 @@ class WaveletMatrix:
         planes, cur = [], ids
         n_words = -(-len(ids) // _BLOCK) * (_BLOCK // 64)
         for level in range(bits - 1, -1, -1):
-            one = ((cur >> level) & 1).astype(bool)
+            one = (cur & cur.dtype.type(1 << level)) != 0
             packed = np.zeros(n_words * 8, np.uint8)
             bytes_ = np.packbits(one, bitorder="little")
             packed[:len(bytes_)] = bytes_
@@ -162,15 +162,16 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All ids: the stable splits undone from the last plane upwards."""
-        cur = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if self.bits <= 16 else np.uint32
+        cur = np.zeros(self.n, kind)
         for level, (zeros, _, words) in reversed(list(enumerate(self.planes))):
             one = np.unpackbits(words.view(np.uint8), count=self.n,
                                 bitorder="little").astype(bool)
-            up = np.empty(self.n, np.uint32)
+            up = np.empty(self.n, kind)
             up[~one] = cur[:zeros]
-            up[one] = cur[zeros:] | np.uint32(1 << (self.bits - 1 - level))
+            up[one] = cur[zeros:] | kind(1 << (self.bits - 1 - level))
             cur = up
-        return cur
+        return cur.astype(np.uint32)
 
 
 def shard_rows(docs: DataFrame, vocab_path: str, end_id: int = END_ID, bits: int = BITS,
