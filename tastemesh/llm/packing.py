@@ -150,7 +150,7 @@ def pack(cut: DataFrame, n_docs: int, max_tokens: int = MAX_TOKENS, max_docs: in
     schema = T.StructType(fields + [T.StructField("sequence_id", T.LongType()),
                                     T.StructField("offset", T.LongType())])
 
-    def pack_bucket(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def pack_bucket(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "ids_crc32", "salt"], ascending=[False, True, True],
                               kind="stable")
         seq, offset = best_fit(pdf["length"].to_numpy(), capacity, w, rule)
