@@ -197,8 +197,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     share = (F.col("doc_id").cast("double") - a) / F.greatest(b.cast("double") - a, F.lit(1.0))
     cell = (F.col("at").cast("long") * subs
             + F.least(F.floor(share * subs), F.lit(subs - 1)).cast("long"))
-    docs = docs.withColumn("cell", F.coalesce(cell, F.lit((len(points) + 1) * subs)
-                                              .cast("long"))).drop("at")
+    last_cell = F.lit((len(points) + 1) * subs).cast("long")
+    docs = docs.withColumn("cell", F.when(F.col("doc_id").isNull(), last_cell)
+                           .otherwise(cell)).drop("at")
     # the first document of each range also goes to the range before: at most 2^18 rows
     firsts = docs.groupBy("cell").agg(F.min("doc_id").alias("first_id"))
     before = F.lag("cell").over(Window.orderBy("cell"))
