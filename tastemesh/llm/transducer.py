@@ -30,6 +30,7 @@ import mmap
 import struct
 import sys
 import uuid
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -173,7 +174,7 @@ def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
     ends = np.cumsum([0, *map(len, ids)])
     arrays = [np.array(key, "<i8"), np.array(target, "<i8"), np.array(output, "<i8"),
               np.array([f for f, _ in states], "<i8"), ends.astype("<i8"),
-              np.array([i for x in ids for i in x], "<i8")]
+              np.array([i for x in ids for i in x], "<u4")]
     head = struct.pack("<4sQ6Q", b"MAT1", root, *map(len, arrays))
     return head + b"".join(a.tobytes() for a in arrays)
 
@@ -186,9 +187,9 @@ class Lexicon:
         if magic != b"MAT1":
             raise ValueError("not a lexicon")
         at, arrays = struct.calcsize("<4sQ6Q"), []
-        for n in sizes:
-            arrays.append(np.frombuffer(buffer, "<i8", n, at))
-            at += 8 * n
+        for n, kind in zip(sizes, ("<i8",) * 5 + ("<u4",)):
+            arrays.append(np.frombuffer(buffer, kind, n, at))
+            at += arrays[-1].nbytes
         self.key, self.target, self.output, self.final, self.ends, self.ids = arrays
 
     @classmethod
@@ -243,7 +244,7 @@ class Encoder:
         self.odd = "|".join([r"^\s", r"\s$", r"\s\s", r"[^\S\n ]",
                              *map(regex.escape, self.merges.special)])
         self.lexicon = lexicon
-        self.unseen: dict[bytes, list[int]] = {}
+        self.unseen: dict[bytes, bytes] = {}       # word -> its ids as 32-bit numbers
         self.known = Stretches()
 
     def stretches(self, texts_):
@@ -272,7 +273,7 @@ class Encoder:
 
     def _merge_pieces(self, pieces: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all lists in one array, number of ids per list)."""
-        special = {"\0" + s: [i] for s, i in self.merges.special.items()}
+        special = {"\0" + s: array("I", [i]).tobytes() for s, i in self.merges.special.items()}
         index: dict[str, int] = {}
         n = np.fromiter(map(len, pieces), np.int64, len(pieces))
         at = np.fromiter((index.setdefault(w, len(index)) for p in pieces for w in p), np.int64,
@@ -284,23 +285,24 @@ class Encoder:
         start, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
         start[known] = lex.ends[number[known]]
         size[known] = lex.ends[number[known] + 1] - start[known]
-        shown, own, base = list(index), [], len(lex.ids)
-        if len(self.unseen) > CACHE_WORDS:
+        shown, own = list(index), []
+        if len(self.unseen) > 2 * CACHE_WORDS:
             self.unseen.clear()
         for k in np.flatnonzero(~known):
             word = words[k]
             ids = special.get(shown[k]) or self.unseen.get(word)
             if ids is None:
-                ids = self.merges.merge(word)
+                ids = array("I", self.merges.merge(word)).tobytes()
                 if len(word) <= LEXICON_BYTES:
                     self.unseen[word] = ids
-            start[k], size[k] = base, len(ids)
-            base += len(ids)
-            own += ids
-        flat = np.concatenate([lex.ids, np.array(own, np.int64)])
+            own.append(ids)
+        # the ids of words beyond the lexicon lie behind the lexicon's own
+        size[~known] = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        start[~known] = len(lex.ids) + np.cumsum(size[~known]) - size[~known]
+        flat = np.concatenate([lex.ids, np.frombuffer(b"".join(own), np.uint32)])
         size = size[at]
         upto = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(n)]]
-        return gather(flat, start[at], size).astype(np.uint32), np.diff(upto)
+        return gather(flat, start[at], size), np.diff(upto)
 
     def encode(self, texts_) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in one array, number of ids per text); ``texts_`` is an
