@@ -31,6 +31,7 @@ import struct
 import sys
 import uuid
 from array import array
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -274,18 +275,18 @@ class Encoder:
     def _merge_pieces(self, pieces: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all lists in one array, number of ids per list)."""
         special = {"\0" + s: array("I", [i]).tobytes() for s, i in self.merges.special.items()}
-        index: dict[str, int] = {}
         n = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        at = np.fromiter((index.setdefault(w, len(index)) for p in pieces for w in p), np.int64,
-                         int(n.sum()))
-        words = [w.encode("utf-8", "surrogatepass") for w in index]
+        coded = pa.array(list(chain.from_iterable(pieces)), pa.large_string()).dictionary_encode()
+        at = coded.indices.to_numpy()
+        shown = coded.dictionary.to_pylist()
+        words = [w.encode() for w in shown]
         lex = self.lexicon
         number = lex.numbers(words)
         known = number >= 0
         start, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
         start[known] = lex.ends[number[known]]
         size[known] = lex.ends[number[known] + 1] - start[known]
-        shown, own = list(index), []
+        own: list[bytes] = []
         if len(self.unseen) > 2 * CACHE_WORDS:
             self.unseen.clear()
         for k in np.flatnonzero(~known):
@@ -340,24 +341,25 @@ def count_words(docs: DataFrame, vocab_path: str) -> DataFrame:
     """(word binary, n): all pre-tokens of all documents of at most
     ``LEXICON_BYTES`` bytes, counted per batch and then added up."""
     def count(batches):
-        from collections import Counter
         import pyarrow.compute as pc
         cutter = once_per_worker("cutter", vocab_path, lambda: Encoder(vocab_path, None))
         for batch in batches:
             for lo in range(0, batch.num_rows, COUNT_TEXTS):
                 b = batch.column("text").slice(lo, COUNT_TEXTS)
                 lists, odd = cutter.stretches(b)
-                met: Counter = Counter()
-                for pair in pc.value_counts(lists.filter(pa.array(~odd)).flatten()).to_pylist():
-                    for w in cutter.find(pair["values"]):
-                        met[w] += pair["counts"]
-                for t in b.filter(pa.array(odd)).to_pylist():
-                    met.update(cutter.pieces(t))
-                words = [w.encode("utf-8", "surrogatepass") for w in met]
-                keep = [0 < len(w) <= LEXICON_BYTES for w in words]
+                met = pc.value_counts(lists.filter(pa.array(~odd)).flatten())
+                pieces = [cutter.find(w) for w in met.field("values").to_pylist()]
+                pieces += [cutter.pieces(t) for t in b.filter(pa.array(odd)).to_pylist()]
+                times = np.r_[met.field("counts").to_numpy(), np.ones(int(odd.sum()), np.int64)]
+                times = np.repeat(times, np.fromiter(map(len, pieces), np.int64, len(pieces)))
+                coded = pa.array(list(chain.from_iterable(pieces)),
+                                 pa.large_string()).dictionary_encode()
+                words = coded.dictionary.cast(pa.large_binary()).cast(pa.binary())
+                n = np.bincount(coded.indices.to_numpy(), weights=times, minlength=len(words))
+                size = pc.binary_length(words)
+                keep = pc.and_(pc.greater(size, 0), pc.less_equal(size, LEXICON_BYTES))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([w for w, k in zip(words, keep) if k], pa.binary()),
-                     pa.array([c for c, k in zip(met.values(), keep) if k], pa.int64())],
+                    [words.filter(keep), pa.array(n.astype(np.int64)).filter(keep)],
                     names=["word", "n"])
     return (texts(docs).select("text").mapInArrow(count, "word binary, n long")
             .groupBy("word").agg(F.sum("n").alias("n")))
