@@ -136,17 +136,18 @@ def features(text: str, dims: int = DIMS) -> np.ndarray:
 def fit_scorer(x: np.ndarray, target: np.ndarray, rounds: int = 300, rate: float = 4.0,
                decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Logistic regression on soft targets by gradient descent with momentum."""
-    w, b = np.zeros(x.shape[1]), 0.0
+    w, b = np.zeros(x.shape[1], np.float32), 0.0
     if not len(x):
         return w, b
+    target = target.astype(np.float32)
     b = float(np.log(target.mean().clip(1e-3, 1 - 1e-3) / (1 - target.mean().clip(1e-3, 1 - 1e-3))))
     mean = x.mean(axis=0)
     centred = x - mean
     vw, vb = np.zeros_like(w), 0.0
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-(centred @ w + b)))
-        err = p - target
-        vw = 0.9 * vw - rate * (centred.T @ err / len(x) + decay * w)
+        err = 1 / (1 + np.exp(-(centred @ w + np.float32(b)))) - target
+        vw = np.float32(0.9) * vw - np.float32(rate) * (err @ centred / np.float32(len(x))
+                                                         + np.float32(decay) * w)
         vb = 0.9 * vb - rate * 0.1 * float(err.mean())
         w, b = w + vw, b + vb
     return w, float(b - mean @ w)
