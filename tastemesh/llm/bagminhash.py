@@ -66,6 +66,7 @@ BATCH_TEXTS = 512
 SALT_MEMBERS = 2048           # members of one centre that are verified in one stream
 CHUNK = 512                   # members of one band that compare signatures
 OFFERS = 2
+SEEN_PAIRS = 500_000          # offered pairs that a task remembers
 MARGIN = 0.18                 # five standard errors of an estimate from 128 slots
 SMALL_ROWS = 250_000          # rows of a small table that one task writes
 
@@ -299,31 +300,39 @@ def best_offers(member: DataFrame, nodes: DataFrame, label: DataFrame,
     def offers(node, label_, sig):
         sig = np.frombuffer(b"".join(sig), "<u2").reshape(len(node), -1)
         label_ = np.asarray(label_, np.int64)
-        a, b = [], []
+        pairs = set()
         for i in range(len(node)):
             same = (sig == sig[i]).sum(axis=1) * (label_ != label_[i])
             best = np.argsort(-same, kind="stable")[:OFFERS]
             for j in best[same[best] >= least * sig.shape[1]].tolist():
-                a.append(max(node[i], node[j]))
-                b.append(min(node[i], node[j]))
+                pairs.add((max(node[i], node[j]), min(node[i], node[j])))
+        return pairs
+
+    def batch_of(pairs):
+        a, b = zip(*pairs) if pairs else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
                                           names=["node", "centre"])
 
     def run(batches):
-        key, node, label_, sig = None, [], [], []
+        # a pair that several bands offer leaves the task once, as far as memory goes
+        key, node, label_, sig, seen = None, [], [], [], set()
         for batch in batches:
             cols = [batch.column(c).to_pylist() for c in ("band", "chunk", "node", "label", "sig")]
             for band, chunk, n, own, s in zip(*cols):
                 # a chunk that its band's key could not split goes on in pieces
                 if (band, chunk) != key or len(node) == 4 * CHUNK:
                     if len(node) > 1:
-                        yield offers(node, label_, sig)
+                        new = offers(node, label_, sig) - seen
+                        yield batch_of(new)
+                        if len(seen) > SEEN_PAIRS:
+                            seen = set()
+                        seen |= new
                     key, node, label_, sig = (band, chunk), [], [], []
                 node.append(n)
                 label_.append(own)
                 sig.append(s)
         if len(node) > 1:
-            yield offers(node, label_, sig)
+            yield batch_of(offers(node, label_, sig) - seen)
 
     return (rows.repartition("band", "chunk").sortWithinPartitions("band", "chunk", "following",
                                                                    "node")
