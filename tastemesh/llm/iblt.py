@@ -236,3 +236,66 @@ def op2_invertible_bloom_fingerprints(spark, sf_dir: str) -> DataFrame:
                      fingerprint("edited_keys").alias("edited_fingerprint"),
                      likeness("own_keys", "edited_keys", "d_edited").alias("near_edited"),
                      likeness("own_keys", "next_keys", "d_next").alias("near_next"))
+
+
+OP2_SQL = """
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS t FROM documents
+), pair AS (
+  SELECT doc_id, t, coalesce(lead(t) OVER (ORDER BY doc_id, t), first_value(t) OVER (
+    ORDER BY doc_id, t ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS nx FROM doc
+), texts AS (
+  SELECT doc_id, t, nx, left(t, length(t) - length(t) // 2) || left(nx, length(t) // 2) AS ed
+  FROM pair
+), side AS (
+  SELECT doc_id, 'own' AS side, t AS x FROM texts
+  UNION ALL SELECT doc_id, 'edited', ed FROM texts
+  UNION ALL SELECT doc_id, 'next', nx FROM texts
+), line AS (
+  SELECT doc_id, side, unnest(string_split(x, chr(10))) AS line FROM side
+), piece AS (
+  SELECT doc_id, side, unnest(CASE WHEN length(line) <= 400 THEN [line] ELSE string_split(
+    regexp_replace(line, '([.!?]) +', '\\1' || chr(10), 'g'), chr(10)) END) AS p FROM line
+), counted AS (
+  SELECT doc_id, side, CAST('0x' || substr(md5(p), 1, 15) AS BIGINT) AS d, count(*) AS m
+  FROM piece WHERE p <> '' GROUP BY doc_id, side, d
+), numbered AS (
+  SELECT doc_id, side, d, unnest(generate_series(1, m)) AS o FROM counted
+), keys AS (
+  SELECT DISTINCT doc_id, side, CASE WHEN o = 1 THEN d
+    ELSE CAST('0x' || substr(md5(d || ':' || o), 1, 15) AS BIGINT) END AS k FROM numbered
+), size AS (
+  SELECT s.doc_id, s.side, count(k.k) AS n, least(1048576, greatest(8,
+    1 << length(bin(greatest(count(k.k), 2) - 1)))) AS w
+  FROM side s LEFT JOIN keys k ON s.doc_id = k.doc_id AND s.side = k.side GROUP BY s.doc_id, s.side
+), cell AS (
+  SELECT k.doc_id, k.side, part * w + ((k.k >> CAST(20 * part AS BIGINT)) & (w - 1)) AS c,
+         count(*) AS n, bit_xor(k.k) AS k,
+         bit_xor(((k.k % 2147483647) * 40692 + (k.k >> CAST(31 AS BIGINT))) % 2147483399) AS h
+  FROM keys k JOIN size s ON k.doc_id = s.doc_id AND k.side = s.side,
+       (VALUES (0), (1), (2)) AS parts(part)
+  GROUP BY k.doc_id, k.side, c
+), print AS (
+  SELECT s.doc_id, s.side, any_value(s.n) AS n, any_value(s.w) || ':' || coalesce(string_agg(
+    c.c || '.' || c.n || '.' || lower(hex(c.k)) || '.' || lower(hex(c.h)), ',' ORDER BY c.c), '')
+    AS f
+  FROM size s LEFT JOIN cell c ON s.doc_id = c.doc_id AND s.side = c.side
+  GROUP BY s.doc_id, s.side
+), common AS (
+  SELECT a.doc_id, b.side, count(*) AS both
+  FROM keys a JOIN keys b ON a.doc_id = b.doc_id AND a.k = b.k
+  WHERE a.side = 'own' AND b.side <> 'own' GROUP BY a.doc_id, b.side
+)
+SELECT t.doc_id, length(t.t) AS n_chars, sha256(t.ed) AS edited_sha256, o.f AS fingerprint,
+       e.f AS edited_fingerprint,
+       CASE WHEN o.n + e.n = 0 THEN 1.0::DOUBLE ELSE CAST(coalesce(ce.both, 0) AS DOUBLE)
+            / (o.n + e.n - coalesce(ce.both, 0)) END AS near_edited,
+       CASE WHEN o.n + x.n = 0 THEN 1.0::DOUBLE ELSE CAST(coalesce(cx.both, 0) AS DOUBLE)
+            / (o.n + x.n - coalesce(cx.both, 0)) END AS near_next
+FROM texts t
+JOIN print o ON o.doc_id = t.doc_id AND o.side = 'own'
+JOIN print e ON e.doc_id = t.doc_id AND e.side = 'edited'
+JOIN print x ON x.doc_id = t.doc_id AND x.side = 'next'
+LEFT JOIN common ce ON ce.doc_id = t.doc_id AND ce.side = 'edited'
+LEFT JOIN common cx ON cx.doc_id = t.doc_id AND cx.side = 'next'
+"""

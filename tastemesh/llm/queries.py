@@ -19,6 +19,7 @@ QUERIES = {f.__name__: f for f in (
 )}
 
 ORACLE: dict[str, str] = {
+    "op2_invertible_bloom_fingerprints": iblt.OP2_SQL,
     "op7_rarity_prefix_line_dedup": lines.OP7_SQL,
     "op9_tool_call_linking": toolcalls.OP9_SQL,
 }
