@@ -104,7 +104,9 @@ def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The stretches ``flat[start:start + size]``, one behind the other."""
     ends = np.cumsum(size)
     total = int(ends[-1]) if len(ends) else 0
-    return flat[np.repeat(start - (ends - size), size) + np.arange(total)]
+    at = np.repeat(start - (ends - size), size)
+    at += np.arange(total)
+    return flat[at]
 
 
 class Stretches:
