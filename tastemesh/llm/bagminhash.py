@@ -25,9 +25,11 @@ still hold several classes are looked at again, as long as that finds a link:
 members of a band, in chunks ordered by their next band, compare signatures,
 and each offers the members of another class that look most like it (two of
 them, if the estimate is within five standard errors of the threshold).
-Offers are again as many as members, and only verified pairs are links.  On the
-hot test table (4 million pairs share a band, 409,384 of them similar) this
-gives 41,834 classes, all pairs give 41,817; smaller tables agree exactly.
+Offers are again as many as members, and only verified pairs are links.
+When a round finds no link, what is left is tested whole: every pair of a band
+whose classes differ, whose estimate is within the margin and which was not
+tested before, across all blocks of the band.  So the rounds only save work,
+and the classes are those of all pairs that share a band and reach the margin.
 Pairs are dealt by their centre, big centres in several salts, and read as a
 stream that holds one centre's bag.
 
@@ -66,6 +68,8 @@ BATCH_TEXTS = 512
 SALT_MEMBERS = 2048           # members of one centre that are verified in one stream
 CHUNK = 512                   # members of one band that compare signatures
 OFFERS = 2
+BLOCK = 4096                  # members of one band that a task of the last pass compares
+PAIRS_OUT = 1 << 16           # pairs that leave such a task at a time
 SEEN_PAIRS = 500_000          # offered pairs that a task remembers
 MARGIN = 0.18                 # five standard errors of an estimate from 128 slots
 SMALL_ROWS = 250_000          # rows of a small table that one task writes
@@ -283,16 +287,23 @@ def merged(label: DataFrame, links: DataFrame) -> DataFrame:
     return _small(both, "classes", label.count() + over.count())
 
 
-def best_offers(member: DataFrame, nodes: DataFrame, label: DataFrame,
-                threshold: float = THRESHOLD) -> DataFrame:
-    """(node, centre): in bands of several classes, the members of another class whose
-    signatures look most like a member's own."""
+def mixed_bands(member: DataFrame, label: DataFrame, most: int) -> DataFrame:
+    """(band, chunks, following, node, label): members of bands of several classes, and in how
+    many parts of about ``most`` members a band is read."""
     at = (member.join(label, "node", "left")
           .select("band", "following", "node", F.coalesce("label", "node").alias("label")))
     mixed = (at.groupBy("band").agg(F.min("label").alias("l0"), F.max("label").alias("l1"),
                                     F.count(F.lit(1)).alias("m")).filter("l0 < l1")
-             .select("band", F.ceil(F.col("m") / F.lit(CHUNK)).cast("int").alias("chunks")))
-    rows = (at.join(mixed, "band").withColumn("chunk", F.pmod(F.col("following"), F.col("chunks")))
+             .select("band", F.ceil(F.col("m") / F.lit(most)).cast("int").alias("chunks")))
+    return at.join(mixed, "band")
+
+
+def best_offers(member: DataFrame, nodes: DataFrame, label: DataFrame,
+                threshold: float = THRESHOLD) -> DataFrame:
+    """(node, centre): in bands of several classes, the members of another class whose
+    signatures look most like a member's own."""
+    rows = (mixed_bands(member, label, CHUNK)
+            .withColumn("chunk", F.pmod(F.col("following"), F.col("chunks")))
             .select("band", "chunk", "following", "node", "label")
             .join(nodes.select("node", "sig"), "node"))
     least = threshold - MARGIN
@@ -339,6 +350,81 @@ def best_offers(member: DataFrame, nodes: DataFrame, label: DataFrame,
             .mapInArrow(run, "node long, centre long").distinct())
 
 
+def all_offers(member: DataFrame, nodes: DataFrame, label: DataFrame,
+               threshold: float = THRESHOLD) -> DataFrame:
+    """(node, centre): every pair of different classes that shares a band and whose estimate is
+    within the margin, once, in the first band it shares.
+
+    A band is cut into blocks by its nodes' hashes, and every two blocks of it meet.
+    """
+    block = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    rows = (mixed_bands(member, label, BLOCK).withColumn("block", block)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+            .select("band", F.least("block", "other").alias("one"),
+                    F.greatest("block", "other").alias("two"), "block", "node", "label")
+            .join(nodes.select("node", "sig", "bands"), "node"))
+    least = threshold - MARGIN
+
+    def table(batch):
+        n = batch.num_rows
+        t = {k: batch.column(k).to_numpy() for k in ("band", "one", "two", "block", "node", "label")}
+        t["sig"] = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u2").reshape(n, -1)
+        t["bands"] = batch.column("bands").flatten().to_numpy().reshape(n, -1)
+        return t
+
+    def whole_groups(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = table(batch)
+            if held is not None:
+                t = {k: np.concatenate([held[k], t[k]]) for k in t}
+            new = np.flatnonzero(np.r_[True, (t["band"][1:] != t["band"][:-1])
+                                       | (t["one"][1:] != t["one"][:-1])
+                                       | (t["two"][1:] != t["two"][:-1])])
+            for lo, hi in zip(new[:-1], new[1:]):
+                yield {k: v[lo:hi] for k, v in t.items()}
+            held = {k: v[new[-1]:] for k, v in t.items()}
+        if held is not None:
+            yield held
+
+    def pairs(t):
+        """(a, b) of one group, a row at a time; of two blocks only pairs across."""
+        node, label_, sig, bands = t["node"], t["label"], t["sig"], t["bands"]
+        cross = t["one"][0] != t["two"][0]
+        second = int(np.searchsorted(t["block"], t["two"][0])) if cross else len(node)
+        for i in range(second):
+            j = (second if cross else i + 1)
+            j += np.flatnonzero(label_[j:] != label_[i])
+            j = j[np.count_nonzero(sig[j] == sig[i], axis=1) >= least * sig.shape[1]]
+            if len(j):
+                shared = bands[j] == bands[i]
+                j = j[bands[i][shared.argmax(axis=1)] == t["band"][0]]
+                yield np.maximum(node[j], node[i]), np.minimum(node[j], node[i])
+
+    def run(batches):
+        a, b, n = [], [], 0
+        for t in whole_groups(batches):
+            for x, y in pairs(t):
+                a.append(x)
+                b.append(y)
+                n += len(x)
+                if n >= PAIRS_OUT:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)),
+                                                      pa.array(np.concatenate(b))],
+                                                     names=["node", "centre"])
+                    a, b, n = [], [], 0
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)),
+                                              pa.array(np.concatenate(b))],
+                                             names=["node", "centre"])
+
+    return (rows.repartition("band", "one", "two")
+            .sortWithinPartitions("band", "one", "two", "block", "node")
+            .mapInArrow(run, "node long, centre long"))
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE,
             slots: int = SLOTS, rows: int = BAND_ROWS) -> tuple[DataFrame, DataFrame]:
     """(rows, nodes): (doc_id, copy) of every document, and (copy, node, label) of
@@ -360,12 +446,16 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGL
         "tested")
     links = tested.filter("similar").select(F.col("node").alias("a"), F.col("centre").alias("b"))
     label = components(links)
+    last = False
     while True:
-        offer = best_offers(member, nodes, label, threshold)
+        offer = (all_offers if last else best_offers)(member, nodes, label, threshold)
         offer = written(offer.join(tested.select("node", "centre"), ["node", "centre"],
                                    "left_anti"), "offers")
         if not offer.head(1):
-            break
+            if last:
+                break
+            last = True
+            continue
         new = written(verify(offer, nodes, docs, threshold, shingle), "tested")
         one = label.select(F.col("node").alias("x"), F.col("label").alias("lx"))
         two = label.select(F.col("node").alias("y"), F.col("label").alias("ly"))
@@ -374,9 +464,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGL
                  .select(F.coalesce("lx", "node").alias("a"), F.coalesce("ly", "centre").alias("b"))
                  .filter("a <> b").distinct())
         links = written(links, "links")
-        if not links.head(1):
-            break
-        label = merged(label, links)
+        found = bool(links.head(1))
+        if found:
+            label = merged(label, links)
+        if last:
+            break                     # every pair that was left is tested
+        last = not found
         tested = written(tested.union(new), "tested")
     label = (nodes.select("copy", "node").join(label, "node", "left")
              .select("copy", "node", F.coalesce("label", "node").alias("label")))

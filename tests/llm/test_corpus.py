@@ -291,6 +291,25 @@ def test_groups_of_near_copies_are_whole(spark):
     assert got == {d: want[t] for d, t in rows}
 
 
+def test_links_hidden_by_pairs_below_the_threshold(spark, monkeypatch):
+    """Ten pairs of similarity 0.805 among 120 texts that are all alike by 0.77 to 0.79."""
+    monkeypatch.setattr(bagminhash, "BLOCK", 32, raising=False)
+    rows, edits = [], []
+    for c in range(120):      # the places of two texts' edits are lines that meet once at most
+        edits.append({x * 13 + (c // 13 * x + c) % 13: f"edit{c}x{x}" for x in range(13)})
+        if c % 2 and c < 20:                       # two of its edits are those of the text before
+            edits[c] = dict(list(edits[c].items())[2:] + list(edits[c - 1].items())[:2])
+        words = [f"w{i}" for i in range(1020)]
+        for k, word in edits[c].items():
+            words[6 * k + 5] = word
+        rows.append((c, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain_classes(rows)
+    assert sorted(n for _, n in want.values()) == [1] * 100 + [2] * 20
+    got = {r.doc_id: (r.class_id, r.class_size) for r in bagminhash.near_duplicates(df).collect()}
+    assert got == {d: want[t] for d, t in rows}
+
+
 def test_signatures_estimate_weighted_jaccard():
     rnd = np.random.default_rng(2)
     doc, value, weight, truth = [], [], [], []
