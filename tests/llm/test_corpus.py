@@ -212,6 +212,29 @@ def test_line_dedup_with_null_ids(odd):
     assert out.count() == odd.count() and out.schema == odd.schema
 
 
+@pytest.mark.parametrize("ids", ["long", "null", "string"])
+def test_line_dedup_of_chains_within_a_document(spark, ids):
+    """r ~ p ~ q without r ~ q: p goes by r and q by p, in either order of the lines' hashes."""
+    rare = [[f"c{c}w{i}" for i in range(8)] for c in range(12)]
+    r = [" ".join([*w, "one", "two"]) for w in rare]
+    p = [" ".join([*w, "one", "six"]) for w in rare]
+    q = [" ".join([*w, "ten", "six"]) for w in rare]
+    common = "\n".join(" ".join([f"f{i}x{k}" for k in range(16)] + ["one", "two", "six", "ten"])
+                       for i in range(40))
+    later = "\n".join(line for pq in zip(p, q) for line in pq)
+    if ids == "null":                      # one document: the lines' numbers are the order
+        docs = [(None, "\n".join(r) + "\n" + later + "\n" + common)]
+        want = {None: "\n".join(r) + "\n" + common}
+    else:
+        name = int if ids == "long" else "d{}".format
+        docs = [(name(1), "\n".join(r)), (name(2), later), (name(3), common)]
+        want = {name(1): "\n".join(r), name(2): "", name(3): common}
+    signs = {lines.line_hash(a.encode()) < lines.line_hash(b.encode()) for a, b in zip(p, q)}
+    assert signs == {False, True}
+    df = spark.createDataFrame(docs, f"doc_id {'string' if ids == 'string' else 'long'}, text string")
+    assert {x.doc_id: x.text for x in lines.deduplicate(df).collect()} == want
+
+
 def test_word_sets_are_ordered_by_rarity():
     h = np.array([50, 10, 30], np.uint64)
     row, code = lines.word_sets(np.array([0, 0, 0, 1, 1]), np.array([0, 1, 0, 2, 1]), h,
