@@ -16,10 +16,12 @@ calls takes 20 rounds, and no conversation is ever gathered into one task.
 Ordering by (level, turn) is topological.  Calls still looking back after
 log2(calls) + 2 rounds wait on a cycle: status ``cycle``, no level.
 
-Statuses: ``linked``; ``no_result``; ``cycle``; ``no_id`` (null identifier, never
-joined); ``orphan`` (a result without a call).  Calls with one identifier are
-one call, the earliest, with their number in n_calls (repeated rows fall under
-this); of several results the earliest counts, their number is n_results.  A
+Statuses: ``linked``; ``no_result``; ``cycle``; ``no_id`` (a call or result with a null
+identifier, never joined); ``orphan`` (a result without a call); ``duplicate``.  Calls
+with one identifier are one call, the earliest, with their number in n_calls; of
+several results the earliest counts, their number is n_results.  The others, as far
+as they differ, are rows of the status ``duplicate`` with no level; equal rows are one,
+with their number.  A
 dependency that does not exist is an error, and the call starts at level 0.
 Null texts are absent arguments; empty tables give no rows; other columns of the
 input are not read.
@@ -85,14 +87,36 @@ def levels(calls: DataFrame) -> DataFrame:
     return look.select("call_id", F.when(F.col("back").isNull(), F.col("level")).alias("level"))
 
 
+def _further(rows: DataFrame, first: DataFrame) -> DataFrame:
+    """The distinct ``rows`` that are not the ``first`` of their identifier, with their number n."""
+    cols = first.columns
+    both = (rows.select(*cols, F.lit(1).cast("long").alias("n"), F.lit(0).alias("main"))
+            .unionByName(first.select(*cols, F.lit(0).cast("long").alias("n"),
+                                      F.lit(1).alias("main"))))
+    return (both.groupBy(*cols).agg(F.sum("n").alias("n"), F.max("main").alias("main"))
+            .filter("main = 0").drop("main"))
+
+
+def _lone_results(results: DataFrame, calls: DataFrame, status: str) -> DataFrame:
+    """Rows of results (with their number n) that no call is linked with."""
+    return results.select(
+        "conv_id", "turn", "call_id", F.lit(None).cast("string").alias("name"),
+        F.lit(None).cast(calls.schema["arguments"].dataType).alias("arguments"),
+        F.lit(False).alias("dangling"), F.lit(status).alias("status"),
+        F.lit(None).cast("long").alias("level"), F.lit(0).cast("long").alias("n_calls"),
+        F.col("n").alias("n_results"), F.col("turn").alias("result_turn"), "content")
+
+
 def link(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
-    """One row per call and per result without a call: (conv_id, turn, call_id, name, status,
-    level, valid, errors, n_calls, n_results, result_turn, message)."""
+    """One row per call, per result without a call and per further call or result of one
+    identifier: (conv_id, turn, call_id, name, status, level, valid, errors, n_calls, n_results,
+    result_turn, message)."""
     named = calls.filter("call_id is not null")
+    answers = results.filter("call_id is not null")
     first = F.min(F.struct("turn", "name", "arguments", "after", "conv_id")).alias("c")
     call = (named.groupBy("call_id").agg(first, F.count(F.lit(1)).alias("n_calls"))
             .select("call_id", "c.*", "n_calls"))
-    answer = (results.filter("call_id is not null").groupBy("call_id")
+    answer = (answers.groupBy("call_id")
               .agg(F.min(F.struct("turn", "content", "conv_id")).alias("r"),
                    F.count(F.lit(1)).alias("n_results"))
               .select(F.col("call_id").alias("answers"), F.col("r.turn").alias("result_turn"),
@@ -120,11 +144,23 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) -> DataF
         F.lit(1).cast("long").alias("n_calls"), F.lit(0).cast("long").alias("n_results"),
         F.lit(None).cast(calls.schema["turn"].dataType).alias("result_turn"),
         F.lit(None).cast("string").alias("content"))
-    rows = rows.unionByName(unnamed)
+    unnamed = unnamed.unionByName(_lone_results(
+        results.filter("call_id is null").withColumn("n", F.lit(1).cast("long")), calls, "no_id"))
+    again = _further(named, call.select("call_id", "turn", "name", "arguments", "after", "conv_id")
+                     ).select(
+        "conv_id", "turn", "call_id", "name", "arguments", F.lit(False).alias("dangling"),
+        F.lit("duplicate").alias("status"), F.lit(None).cast("long").alias("level"),
+        F.col("n").alias("n_calls"), F.lit(0).cast("long").alias("n_results"),
+        F.lit(None).cast(calls.schema["turn"].dataType).alias("result_turn"),
+        F.lit(None).cast("string").alias("content"))
+    again = again.unionByName(_lone_results(_further(answers, answer.select(
+        F.col("answers").alias("call_id"), F.col("result_turn").alias("turn"), "content",
+        F.col("result_conv").alias("conv_id"))), calls, "duplicate"))
+    rows = again.unionByName(rows).unionByName(unnamed)
     wrong = F.concat(argument_errors("name", "arguments", schemas), F.when(
         F.col("dangling"), F.array(F.lit("missing dependency"))).otherwise(
         F.array().cast("array<string>")))
-    rows = rows.withColumn("errors", F.when(F.col("status") == "orphan",
+    rows = rows.withColumn("errors", F.when(F.col("n_calls") == 0,
                                             F.array().cast("array<string>")).otherwise(wrong))
     rows = rows.withColumn("valid", F.col("status").isin("linked", "no_result")
                            & (F.size("errors") == 0))

@@ -407,6 +407,23 @@ def test_deep_chain_takes_few_rounds(spark):
     assert all(got[f"c{i}"].level == i for i in range(300))
 
 
+def test_results_without_id_and_duplicates_are_rows(spark):
+    rows = [(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, 0, "user", "other"),
+            (1, 1, "assistant", "yo"), (1, 1, "assistant", "yo two"), (1, 1, "assistant", "yo two"),
+            (None, 1, "assistant", "lost"), (2, None, "assistant", "lost too"),
+            (5, 3, "assistant", "alone"), (5, 3, "assistant", "alone two")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = toolcalls.link(*toolcalls.from_messages(df)).collect()
+    assert collections.Counter((r.conv_id, r.turn, r.status, r.n_calls, r.n_results, r.valid,
+                                r.errors) for r in got) == collections.Counter([
+        (1, 0, "linked", 3, 3, True, ""), (1, 0, "duplicate", 1, 0, False, ""),
+        (1, 1, "duplicate", 0, 2, False, ""), (None, 1, "no_id", 0, 1, False, ""),
+        (2, None, "no_id", 0, 1, False, ""), (5, 3, "orphan", 0, 2, False, ""),
+        (5, 3, "duplicate", 0, 1, False, "")])
+    for text in {r[3] for r in rows}:                # every text is in some row
+        assert sum(f'"{text}"' in r.message for r in got) == 1
+
+
 def test_tool_calls_of_odd_conversations(spark):
     rows = [(1, 0, "system", None), (1, 1, "user", "hi"), (1, 2, "assistant", "yo"),
             (1, 2, "assistant", "yo"), (None, 0, "user", "x"), (2, None, "user", "x"),
