@@ -22,8 +22,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_small():
     return SF_SMALL
-
-
-def rows(df, *cols):
-    cols = cols or df.columns
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())

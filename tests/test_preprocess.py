@@ -1,5 +1,5 @@
 from tastemesh.operators import preprocess as P
-from conftest import rows
+from helpers import rows
 
 
 def _business(spark):

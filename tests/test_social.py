@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from tastemesh.operators import social
-from conftest import rows
+from helpers import rows
 
 SEVEN = [("ab", "cd"), ("cd", "de"), ("bc", "bcd"), ("bc", "cad"), ("cad", "cade"),
          ("ab", "cfgd"), ("cfgd", "cfgde")]
