@@ -3,7 +3,8 @@ SQL for those that SQL can express."""
 
 from __future__ import annotations
 
-from tastemesh.llm import bagminhash, fertility, iblt, lines, packing, ring, toolcalls, transducer, wavelet, weaklabel
+from tastemesh.llm import (bagminhash, fertility, heapbpe, iblt, lines, manifest, packing, ring,
+                           toolcalls, transducer, wavelet, weaklabel, whitening)
 
 QUERIES = {f.__name__: f for f in (
     packing.op1_vector_best_fit_packing,
@@ -16,10 +17,14 @@ QUERIES = {f.__name__: f for f in (
     transducer.op8_transducer_bpe,
     toolcalls.op9_tool_call_linking,
     bagminhash.op10_bagminhash_near_dedup,
+    manifest.op11_postorder_merkle_manifest,
+    heapbpe.op12_heap_token_counts,
+    whitening.op13_jacobi_davidson_whitening,
 )}
 
 ORACLE: dict[str, str] = {
     "op2_invertible_bloom_fingerprints": iblt.OP2_SQL,
     "op7_rarity_prefix_line_dedup": lines.OP7_SQL,
     "op9_tool_call_linking": toolcalls.OP9_SQL,
+    "op11_postorder_merkle_manifest": manifest.OP11_SQL,
 }
