@@ -11,6 +11,7 @@ from tastemesh.functions.vectors import to_array
 from tastemesh.operators import collaborative as CF
 from tastemesh.operators import index as IX
 from tastemesh.operators import social
+from tastemesh.operators import sparse as SP
 from tastemesh.operators import text as TX
 from tastemesh.plans.registry import query
 from tastemesh.plans.social_queries import SOCIAL_CTES
@@ -160,23 +161,52 @@ def tfidf_norms(spark, sf_dir):
     return norms.select("doc_id", "n_terms", F.round(F.sqrt("squares"), 6).alias("norm"))
 
 
+_VOCABULARY_SQL = _TERMS_SQL + """,
+vocabulary AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS col,
+                      ln(((SELECT count(*) FROM documents) + 1.0) / (count(*) + 1.0)) AS idf
+               FROM tf GROUP BY term)"""
+
+
+def _entries(blocked, key):
+    """The blocks' entries, one row each: what the oracle can compare."""
+    return SP.entries(blocked, key).select(
+        key, F.floor(F.col("col") / SP.BLOCK_WIDTH).cast("long").alias("block"), "col",
+        F.round("value", 9).alias("value"))
+
+
+@query("tfidf_blocks", views=("stop_words",), sql=_VOCABULARY_SQL + f"""
+SELECT tf.doc_id, v.col // {SP.BLOCK_WIDTH} AS block, v.col, round(tf.tf * v.idf, 9) AS value
+FROM tf JOIN vocabulary v ON v.term = tf.term""")
+def tfidf_blocks(spark, sf_dir):
+    """The TF-IDF part of every document's vector, read back from its blocks."""
+    model, tf = SP.fit(TestTables(spark, sf_dir).documents)
+    return _entries(SP.blocks(SP.tfidf_entries(model, tf, "doc_id"), "doc_id"), "doc_id")
+
+
+@query("business_tfidf_blocks", views=("review_text", "stop_words"), sql=_VOCABULARY_SQL + f""",
+btoks AS (SELECT business_id, unnest({_TOKS}) AS term FROM review_text),
+btf AS (SELECT business_id, term, count(*) AS tf FROM btoks GROUP BY business_id, term)
+SELECT b.business_id, v.col // {SP.BLOCK_WIDTH} AS block, v.col, round(b.tf * v.idf, 9) AS value
+FROM btf b JOIN vocabulary v ON v.term = b.term""")
+def business_tfidf_blocks(spark, sf_dir):
+    """A model fitted on the documents, saved, loaded and applied to other documents:
+    each business's texts taken together (M13, S9, K5)."""
+    t = TestTables(spark, sf_dir)
+    model, _ = SP.fit(t.documents)
+    path = CF.model_path(spark, "text-model")
+    model.save(path)
+    loaded = SP.TextModel.load(spark, path)
+    return _entries(SP.transform(loaded, t.review_text, "business_id"), "business_id")
+
+
 @query("content_full_vector")
 def content_full_vector(spark, sf_dir):
-    """Size and norm of the assembled TF-IDF + word vector per document (M12), from
-    the relational TF-IDF rows and the mean word vectors; no vector as wide as
-    the vocabulary is ever built."""
+    """The assembled TF-IDF + word vector of every document as blocks (M12): at most
+    ``BLOCK_WIDTH`` entries a row, ``size`` the columns of the whole vector."""
     t = TestTables(spark, sf_dir)
-    tf, norms = _tfidf_norms(t)
-    toks = _doc_tokens(t)
-    w2v = TX.word2vec_stage().fit(toks)
-    words = TX.mean_word_vectors(toks, "doc_id", TX.word_vectors(w2v)).select(
-        "doc_id", F.aggregate("vector", F.lit(0.0), lambda a, v: a + v * v).alias("w"))
-    n_terms = tf.agg(F.countDistinct("term")).scalar()
-    both = (t.documents.select("doc_id").join(norms, "doc_id", "left")
-            .join(words, "doc_id", "left"))
-    zero = F.lit(0.0)
-    return both.select("doc_id", (n_terms + TX.W2V_SIZE).cast("int").alias("size"),
-                       F.sqrt(F.coalesce("squares", zero) + F.coalesce("w", zero)).alias("norm"))
+    w2v = TX.word2vec_stage().fit(_doc_tokens(t))
+    model, tf = SP.fit(t.documents, word_vectors=TX.word_vectors(w2v))
+    return SP.transform(model, t.documents, tf=tf).withColumn("size", F.lit(model.size).cast("long"))
 
 
 @query("content_vectors_from_saved_model")

@@ -43,13 +43,15 @@ class TestTables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def raw_texts(self) -> DataFrame:
-        """The documents, dealt by doc_id.
+        """The documents as they are stored.
 
-        Every table comes as one row group, which one task reads; texts are dealt
-        once so that the work on them is spread.  The deal depends on doc_id and
-        the session's shuffle partitions alone.
+        Only where they come in fewer files than the session has shuffle partitions
+        (the test data is one row group, which one task reads) are the texts dealt
+        out, row by row and by no key, so neither null nor equal ids meet in a task.
         """
-        return self.raw("documents").select("doc_id", "text").repartition("doc_id")
+        d = self.raw("documents").select("doc_id", "text")
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return d if len(d.inputFiles()) >= n else d.repartition(n)
 
     # -- review -----------------------------------------------------------
     def _review_rows(self) -> DataFrame:
