@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tastemesh.functions.strings import join_ids, set_text
 from tastemesh.functions.vectors import to_array
+from tastemesh.operators import als_grams as AG
 from tastemesh.operators import collaborative as CF
 from tastemesh.operators import index as IX
 from tastemesh.operators import social
@@ -283,6 +284,26 @@ def collaborative_recs(spark, sf_dir):
     return CF.ranked_lists(CF.with_string_ids(CF.recommend_exploded(model, 10), ui, bi))
 
 
+def _fit_grams(t: TestTables):
+    tr, ui, bi = _triples(t)
+    train, test = CF.train_test_split(tr, ["review_id"])
+    return AG.fit(train), test, ui, bi
+
+
+@query("als_gram_rmse")
+def als_gram_rmse(spark, sf_dir):
+    """RMSE of the factors solved from partial Gram matrices."""
+    model, test, _, _ = _fit_grams(TestTables(spark, sf_dir))
+    return CF.rmse_frame(model.predictions(test))
+
+
+@query("als_gram_recs")
+def als_gram_recs(spark, sf_dir):
+    """The same factors, top 10 for all users by norm-ordered blocks, ids mapped back (M5, M6)."""
+    model, _, ui, bi = _fit_grams(TestTables(spark, sf_dir))
+    return CF.ranked_lists(CF.with_string_ids(model.recommend(10), ui, bi))
+
+
 @query("als_from_saved_model")
 def als_from_saved_model(spark, sf_dir):
     """Save the fitted model with its indexes, load both back, recommend."""
