@@ -14,6 +14,7 @@ from tastemesh.operators import index as IX
 from tastemesh.operators import social
 from tastemesh.operators import sparse as SP
 from tastemesh.operators import text as TX
+from tastemesh.operators import wordfactors as WF
 from tastemesh.plans.registry import query
 from tastemesh.plans.social_queries import SOCIAL_CTES
 from tastemesh.session import cut_lineage
@@ -210,6 +211,21 @@ def content_full_vector(spark, sf_dir):
     return SP.transform(model, t.documents, tf=tf).withColumn("size", F.lit(model.size).cast("long"))
 
 
+@query("word_factors")
+def word_factors(spark, sf_dir):
+    """Word vectors from co-occurrences, no vocabulary on the driver."""
+    return WF.word_factors(_doc_tokens(TestTables(spark, sf_dir)))
+
+
+@query("content_factor_vector")
+def content_factor_vector(spark, sf_dir):
+    """The assembled vector with these word vectors: every part a table."""
+    t = TestTables(spark, sf_dir)
+    words = cut_lineage(WF.word_factors(_doc_tokens(t)), required=True)
+    model, tf = SP.fit(t.documents, word_vectors=words)
+    return SP.transform(model, t.documents, tf=tf).withColumn("size", F.lit(model.size).cast("long"))
+
+
 @query("content_vectors_from_saved_model")
 def content_vectors_from_saved_model(spark, sf_dir):
     """Fit, save, load the pipeline (K5, S9) and transform with the loaded copy."""
