@@ -28,22 +28,24 @@ from tastemesh.operators import text as TX
 from tastemesh.operators.hybrid import hybrid_recommendations
 from tastemesh.functions.strings import parse_id_list
 from tastemesh.session import cut_lineage
-from tastemesh.sources import sinks
+from tastemesh.sources import commits, sinks
 from tastemesh.sources.catalog import Catalog
 from tastemesh.sources.models import load_als, save_als
 
 
 def preprocess_job(cat: Catalog, out: str, city: str = "Las Vegas",
-                   category: str = "restaurants", mode: str = "append") -> None:
+                   category: str = "restaurants", mode: str = "append",
+                   job: str | None = None) -> None:
     """Filtered business / review / user tables and the review_context table."""
     b, r, u = cat.load("business"), cat.load("review"), cat.load("user")
     # the filtered businesses feed every other table: evaluated once
     bf = cut_lineage(P.business_in_category(b, category, city), required=True)
     rf, uf = P.cascade(bf, r, u)
-    sinks.write_table(bf, f"{out}/business", mode=mode)
-    sinks.write_table(rf, f"{out}/review", mode=mode)
-    sinks.write_table(uf, f"{out}/user", mode=mode)
-    sinks.write_table(P.review_context(r, bf, city), f"{out}/review_context", mode=mode)
+    sinks.write_table(bf, f"{out}/business", mode=mode, job=job)
+    sinks.write_table(rf, f"{out}/review", mode=mode, job=job)
+    sinks.write_table(uf, f"{out}/user", mode=mode, job=job)
+    sinks.write_table(P.review_context(r, bf, city), f"{out}/review_context", mode=mode,
+                      job=job)
 
 
 def topical_job(cat: Catalog, out: str, category: str = "restaurants", mode: str = "append") -> None:
@@ -53,7 +55,8 @@ def topical_job(cat: Catalog, out: str, category: str = "restaurants", mode: str
 
 
 def collaborative_job(cat: Catalog, out: str, model_path: str, k: int = 10, seed: int = 42,
-                      mode: str = "append", num_blocks: int = CF.NUM_BLOCKS) -> float:
+                      mode: str = "append", num_blocks: int = CF.NUM_BLOCKS,
+                      job: str | None = None) -> float:
     """Index → split → ALS → RMSE → top-k lists; the model is saved with its
     indexes.  Returns the test RMSE."""
     r, u, b = cat.load("review"), cat.load("user"), cat.load("business")
@@ -65,16 +68,16 @@ def collaborative_job(cat: Catalog, out: str, model_path: str, k: int = 10, seed
     rmse = CF.rmse(CF.predictions(model, test))
     save_als(model, ui, bi, model_path)
     recs = CF.with_string_ids(CF.recommend_exploded(model, k), ui, bi)
-    sinks.write_table(CF.ranked_lists(recs), out, mode=mode)
+    sinks.write_table(CF.ranked_lists(recs), out, mode=mode, job=job)
     return rmse
 
 
 def model_recommendations_job(spark: SparkSession, model_path: str, out: str, k: int = 10,
-                              mode: str = "append") -> None:
+                              mode: str = "append", job: str | None = None) -> None:
     """Top-k for all users from a saved model, ids mapped back."""
     model, ui, bi = load_als(spark, model_path)
     recs = CF.with_string_ids(CF.recommend_exploded(model, k), ui, bi)
-    sinks.write_table(CF.ranked_lists(recs), out, mode=mode)
+    sinks.write_table(CF.ranked_lists(recs), out, mode=mode, job=job)
 
 
 def business_vectors(review: DataFrame) -> DataFrame:
@@ -88,28 +91,27 @@ def business_vectors(review: DataFrame) -> DataFrame:
 
 
 def content_job(cat: Catalog, out: str, k: int = 10, neighbours: int = 10,
-                vectors: DataFrame | None = None, mode: str = "append") -> None:
+                vectors: DataFrame | None = None, mode: str = "append",
+                job: str | None = None) -> None:
     """Content recommendations as ``(user_id, business_id 'id id id')`` lines
-    and as a ranked table with business details.
+    and as a ranked table with business details, and the vectors and lists behind them.
 
-    Vectors and recommendations are tables of the output (``vectors``, ``recs``),
-    written once; lines and details are read off them."""
-    spark = cat.spark
+    Vectors and lists are evaluated once, into checkpoints of this run; all four
+    tables are written under ``mode``, so an append deletes nothing of a former run."""
     r, b = cat.load("review"), cat.load("business")
     if vectors is None:
-        made = business_vectors(r)
-        sinks.write_table(made, f"{out}/vectors", mode="overwrite")
-        vectors = spark.read.schema(made.schema).parquet(f"{out}/vectors")
-    made = C.content_recommendations(r, b, vectors, k=k, neighbours=neighbours)
-    sinks.write_table(made, f"{out}/recs", mode="overwrite")
-    recs = spark.read.schema(made.schema).parquet(f"{out}/recs")
-    sinks.write_table(C.rec_lines(recs), f"{out}/lines", mode=mode)
-    sinks.write_table(C.with_details(recs, b), f"{out}/details", mode=mode)
+        vectors = cut_lineage(business_vectors(r), required=True)
+        sinks.write_table(vectors, f"{out}/vectors", mode=mode, job=job)
+    recs = cut_lineage(C.content_recommendations(r, b, vectors, k=k, neighbours=neighbours),
+                       required=True)
+    sinks.write_table(recs, f"{out}/recs", mode=mode, job=job)
+    sinks.write_table(C.rec_lines(recs), f"{out}/lines", mode=mode, job=job)
+    sinks.write_table(C.with_details(recs, b), f"{out}/details", mode=mode, job=job)
 
 
 def social_job(cat: Catalog, out: str, k: int = 10, levels: int = 3,
                mode: str = "append", city: str | None = None,
-               category: str | None = None) -> None:
+               category: str | None = None, job: str | None = None) -> None:
     """Social recommendations (user_id, business_id, top_reviews, rank).
 
     With a city and a category the collections first pass the preprocessing
@@ -120,11 +122,11 @@ def social_job(cat: Catalog, out: str, k: int = 10, levels: int = 3,
         r = P.semi_join(r, bf, "business_id")
         u = P.semi_join(u, r, "user_id")
     recs = SO.social_pipeline(u, r, k=k, levels=levels)
-    sinks.write_table(recs, out, mode=mode)
+    sinks.write_table(recs, out, mode=mode, job=job)
 
 
 def hybrid_job(spark: SparkSession, cat: Catalog, sources: dict[str, str], out: str,
-               fmt: str = "parquet", mode: str = "append") -> None:
+               fmt: str = "parquet", mode: str = "append", job: str | None = None) -> None:
     """Tagged union of saved recommendation tables with business details.
 
     ``sources`` maps a type name to a table of (user_id, business_id, rank).
@@ -133,14 +135,15 @@ def hybrid_job(spark: SparkSession, cat: Catalog, sources: dict[str, str], out:
     """
     parts = []
     for name, path in sources.items():
-        df = spark.read.format(fmt).load(path)
+        df = commits.load(spark, path, fmt)
         if "rank" not in df.columns:
             if not dict(df.dtypes)["business_id"].startswith("array"):
                 df = df.withColumn("business_id", parse_id_list("business_id", " "))
             df = df.select("user_id", F.posexplode("business_id").alias("_p", "business_id")) \
                    .withColumn("rank", F.col("_p") + 1).drop("_p")
         parts.append((name, df))
-    sinks.write_table(hybrid_recommendations(parts, cat.load("business")), out, mode=mode)
+    sinks.write_table(hybrid_recommendations(parts, cat.load("business")), out, mode=mode,
+                      job=job)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -161,24 +164,29 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--model", help="ALS model folder (collaborative, model-recs)")
     ap.add_argument("--source", action="append", default=[],
                     help="hybrid input as type=path (repeatable, in order)")
+    ap.add_argument("--run", help="name of this run: its rows count once however often it is "
+                                  "repeated (tables of commits; not for topical lines)")
     a = ap.parse_args(argv)
+    if a.run and a.job == "topical":
+        ap.error("topical writes text lines, which are no table of commits")
     if a.job in ("collaborative", "model-recs") and not a.model:
         ap.error(f"{a.job} needs --model")
     spark = SparkSession.builder.appName(f"tastemesh-{a.job}").getOrCreate()
     cat = Catalog(spark, a.input, fmt=a.format,
                   schemas=SCHEMAS if a.format == "json" else {}, suffix=a.suffix)
     if a.job == "preprocess":
-        preprocess_job(cat, a.output, a.city, a.category, a.mode)
+        preprocess_job(cat, a.output, a.city, a.category, a.mode, job=a.run)
     elif a.job == "topical":
         topical_job(cat, a.output, a.category, a.mode)
     elif a.job == "collaborative":
         print("rmse", collaborative_job(cat, a.output, a.model, a.k, mode=a.mode,
-                                        num_blocks=a.blocks))
+                                        num_blocks=a.blocks, job=a.run))
     elif a.job == "model-recs":
-        model_recommendations_job(spark, a.model, a.output, a.k, a.mode)
+        model_recommendations_job(spark, a.model, a.output, a.k, a.mode, job=a.run)
     elif a.job == "content":
-        content_job(cat, a.output, a.k, mode=a.mode)
+        content_job(cat, a.output, a.k, mode=a.mode, job=a.run)
     elif a.job == "social":
-        social_job(cat, a.output, a.k, mode=a.mode, city=a.city, category=a.category)
+        social_job(cat, a.output, a.k, mode=a.mode, city=a.city, category=a.category, job=a.run)
     elif a.job == "hybrid":
-        hybrid_job(spark, cat, dict(s.split("=", 1) for s in a.source), a.output, mode=a.mode)
+        hybrid_job(spark, cat, dict(s.split("=", 1) for s in a.source), a.output, mode=a.mode,
+                   job=a.run)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tastemesh import schema as S
+from tastemesh.sources import commits
 
 
 @dataclass
@@ -41,6 +42,8 @@ class Catalog:
             reader = reader.schema(schema)
         if "collection" in self.table_options.get(name, {}):
             return reader.load()
+        if self.fmt == "parquet" and commits.is_committed_table(self.spark, self.path(name)):
+            return commits.read(self.spark, self.path(name))
         return reader.load(self.path(name))
 
 

@@ -11,10 +11,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tastemesh.sources.commits import commit
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append",
-                partition_by: list[str] | None = None, **options) -> None:
-    """Append (default, as the reference) or overwrite a collection (K1)."""
+                partition_by: list[str] | None = None, job: str | None = None,
+                **options) -> None:
+    """Append (default, as the reference) or overwrite a collection (K1).
+
+    With a ``job`` name the table is one of commits: the rows count once, however
+    often the job runs (:mod:`tastemesh.sources.commits`)."""
+    if job is not None:
+        if fmt != "parquet" or partition_by or options:
+            raise ValueError("commits are plain parquet")
+        commit(df, path, job, mode)
+        return
     w = df.write.format(fmt).mode(mode).options(**options)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -1,0 +1,148 @@
+"""Appends that count once (K1, A8, K6) and ids that stay."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tastemesh import jobs
+from tastemesh.operators import als_grams as AG
+from tastemesh.sources import commits, versions
+from tastemesh.sources.catalog import Catalog
+from test_jobs import collections_root  # noqa: F401  (a fixture)
+
+
+def frame(spark, lo, hi):
+    return spark.range(lo, hi).select("id", (F.col("id") * 2.0).alias("v"))
+
+
+def ids(spark, path):
+    return sorted(r.id for r in commits.read(spark, path).collect())
+
+
+def test_a_job_run_twice_adds_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = commits.commit(frame(spark, 0, 5), path, "a", metrics={"top": F.max("v")})
+    again = commits.commit(frame(spark, 0, 500), path, "a")
+    commits.commit(frame(spark, 5, 8), path, "b")
+    assert first == again and first["metrics"] == {"rows": 5, "top": 8.0}
+    assert ids(spark, path) == list(range(8))
+    assert {(r.job, r.metric, r.value) for r in commits.history(spark, path).collect()} == {
+        ("a", "rows", 5.0), ("a", "top", 8.0), ("b", "rows", 3.0)}
+
+
+def test_a_job_that_dies_leaves_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    commits.commit(frame(spark, 0, 3), path, "a")
+    bad = frame(spark, 3, 9).withColumn("v", F.when(F.col("id") < 8, F.col("v")).otherwise(
+        F.raise_error(F.lit("lost")).cast("double")))
+    with pytest.raises(Exception, match="lost"):            # within the write
+        commits.commit(bad, path, "b")
+    assert ids(spark, path) == [0, 1, 2]
+
+    def dead(*_):
+        raise OSError("driver lost")
+    with monkeypatch.context() as m:                        # between write and commit
+        m.setattr(commits, "_publish", dead)
+        with pytest.raises(OSError):
+            commits.commit(frame(spark, 3, 6), path, "b")
+    assert ids(spark, path) == [0, 1, 2]
+    commits.commit(frame(spark, 3, 6), path, "b")
+    assert ids(spark, path) == list(range(6))
+
+
+def test_of_two_attempts_one_wins(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    real = commits._publish
+
+    def raced(spark_, path_, job, manifest):
+        monkeypatch.setattr(commits, "_publish", real)
+        commits.commit(frame(spark, 100, 102), path, "a")   # the other attempt is faster
+        return real(spark_, path_, job, manifest)
+    monkeypatch.setattr(commits, "_publish", raced)
+    won = commits.commit(frame(spark, 0, 5), path, "a")
+    assert won["metrics"]["rows"] == 2 and ids(spark, path) == [100, 101]
+
+
+def test_overwrite_replaces_what_was_seen(spark, tmp_path):
+    path = str(tmp_path / "t")
+    commits.commit(frame(spark, 0, 5), path, "a")
+    commits.commit(frame(spark, 7, 9), path, "b", mode="overwrite")
+    commits.commit(frame(spark, 9, 10), path, "c")
+    assert ids(spark, path) == [7, 8, 9]
+    assert {r.job for r in commits.history(spark, path).filter("visible").collect()} == {"b", "c"}
+    with pytest.raises(ValueError, match="columns"):
+        commits.commit(spark.range(3), path, "d")
+    with pytest.raises(ValueError, match="named"):
+        commits.commit(frame(spark, 0, 1), path, "../d")
+    with pytest.raises(FileNotFoundError):
+        commits.read(spark, str(tmp_path / "none"))
+    assert commits.commit(frame(spark, 0, 0), path, "e")["metrics"]["rows"] == 0
+    assert ids(spark, path) == [7, 8, 9]
+
+
+def test_jobs_by_run_name(spark, collections_root, tmp_path):  # noqa: F811
+    """A chain of jobs run twice under one name leaves the rows of one run."""
+    out = str(tmp_path)
+    for _ in range(2):
+        jobs.main(["preprocess", "--input", collections_root, "--format", "json",
+                   "--output", f"{out}/pre", "--run", "r1"])
+        jobs.main(["social", "--input", collections_root, "--format", "json",
+                   "--output", f"{out}/social", "--run", "r1"])
+        jobs.main(["hybrid", "--input", f"{out}/pre", "--output", f"{out}/hybrid",
+                   "--source", f"social={out}/social", "--run", "r1"])
+    pre = Catalog(spark, f"{out}/pre").load("business")
+    assert pre.count() == pre.select("business_id").distinct().count() > 0
+    hy = commits.read(spark, f"{out}/hybrid")
+    assert hy.count() == hy.distinct().count() > 0
+    rows = {(r.metric, r.value) for r in commits.history(spark, f"{out}/hybrid").collect()}
+    assert rows == {("rows", float(hy.count()))}
+    with pytest.raises(SystemExit):
+        jobs.main(["topical", "--input", out, "--output", out, "--run", "r1"])
+
+
+def test_append_deletes_no_former_tables(spark, collections_root, tmp_path):  # noqa: F811
+    cat = Catalog(spark, collections_root, fmt="json", schemas=jobs.SCHEMAS)
+    b = cat.load("business").select("business_id", F.array(
+        F.hash("business_id").cast("double"), F.lit(1.0)).alias("vector"))
+    counts = []
+    for _ in range(2):
+        jobs.content_job(cat, str(tmp_path / "c"), vectors=b)
+        counts.append([spark.read.parquet(str(tmp_path / "c" / t)).count()
+                       for t in ("recs", "lines", "details")])
+    assert counts[1] == [2 * n for n in counts[0]]
+
+
+def test_index_versions_keep_ids(spark, tmp_path):
+    path = str(tmp_path / "ix")
+
+    def keys(*names):
+        return spark.createDataFrame([(n,) for n in names], "user_id string")
+
+    def update(df, job):
+        return {r.user_id: r.user_idx for r in versions.update_index(
+            spark, path, df, "user_id", "user_idx", job).collect()}
+    assert update(keys("m", "c", "c", None), "v1") == {"c": 0, "m": 1}
+    second = update(keys("a", "m", "z", "c"), "v2")
+    assert second == {"c": 0, "m": 1, "a": 2, "z": 3}
+    assert update(keys("q"), "v2") == second                # a repeated job changes nothing
+    assert update(keys("z"), "v3") == second                # no new key
+    assert update(keys(*"abcdz"), "v4") == second | {"b": 4, "d": 5}
+
+
+def test_new_users_of_a_saved_model(spark, tmp_path):
+    """Cold start by versioned ids: old lists stay, new users get lists of their own."""
+    rows = [(f"u{u}", i, float(1 + (u * i) % 5)) for u in range(12) for i in range(9) if (u + i) % 3]
+    old = spark.createDataFrame(rows, "user_id string, business_idx int, rating float")
+    ix = versions.update_index(spark, str(tmp_path / "u"), old, "user_id", "user_idx", "v1")
+    model = AG.fit(old.join(ix, "user_id").drop("user_id"), rank=3, max_iter=2)
+    model.save(str(tmp_path / "m"))
+    new = spark.createDataFrame([("a", 1, 5.0), ("a", 2, 1.0), ("u3", 4, 2.0), ("b", 77, 1.0)],
+                                old.schema)
+    ix2 = versions.update_index(spark, str(tmp_path / "u"), new, "user_id", "user_idx", "v2")
+    grown = AG.GramModel.load(spark, str(tmp_path / "m")).with_new_users(
+        new.join(ix2, "user_id").drop("user_id"))
+    before = {(r.user_idx, r["rank"]): r.business_idx for r in model.recommend(3).collect()}
+    after = {(r.user_idx, r["rank"]): r.business_idx for r in grown.recommend(3).collect()}
+    assert all(after[k] == v for k, v in before.items())
+    fresh = {u for u, _ in after} - {u for u, _ in before}
+    names = {r.user_idx: r.user_id for r in ix2.collect()}
+    assert {names[u] for u in fresh} == {"a"}               # b rated only an unknown item
