@@ -79,9 +79,12 @@ def levels(calls: DataFrame) -> DataFrame:
     for _ in range(math.ceil(math.log2(n + 1)) + 1 if n else 0):
         there = look.select(F.col("call_id").alias("at"), F.col("back").alias("further"),
                             F.col("level").alias("more"))
-        look = written(look.join(there, look["back"] == there["at"], "left").select(
+        # calls that are done have no key to join by: they pass by the join
+        going = look.filter("back is not null")
+        look = written(going.join(there, going["back"] == there["at"], "left").select(
             "call_id", F.col("further").alias("back"),
-            (F.col("level") + F.coalesce("more", F.lit(0))).alias("level")), "levels")
+            (F.col("level") + F.coalesce("more", F.lit(0))).alias("level")).unionByName(
+            look.filter("back is null")), "levels")
         if not look.filter("back is not null").head(1):
             break
     return look.select("call_id", F.when(F.col("back").isNull(), F.col("level")).alias("level"))
@@ -123,7 +126,10 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) -> DataF
                       F.col("r.content").alias("content"), F.col("r.conv_id").alias("result_conv"),
                       "n_results"))
     known = call.select(F.col("call_id").alias("dependency"))
-    call = (call.join(known, call["after"] == known["dependency"], "left")
+    # calls that wait for none have no key to join by
+    waiting = call.filter("after is not null")
+    call = (waiting.join(known, waiting["after"] == known["dependency"], "left").unionByName(
+        call.filter("after is null").withColumn("dependency", F.col("after")))
             .withColumn("dangling", F.col("after").isNotNull() & F.col("dependency").isNull()))
     call = written(call, "calls")
     level = levels(call.select("call_id", F.col("dependency").alias("after")))
