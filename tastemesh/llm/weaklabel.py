@@ -38,7 +38,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE = 3000
 DIMS = 4096
-REJECT_BELOW = 0.2
+REJECT_BELOW = 0.5
 HEURISTICS = ("length", "function_words", "symbols", "capitals", "vocabulary", "repeated_lines",
               "word_length", "punctuation")
 
@@ -171,9 +171,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE, dims: int = DIMS) -> dict:
                       found.column("n").to_numpy().astype(np.float64))
     n_docs = int(found.column("n").to_numpy().sum())
     share = min(1.0, sample / max(n_docs, 1))
-    drawn = (docs.select("text", F.xxhash64("text").alias("draw"))
-             .filter(F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(1 << 30)) < int(share * (1 << 30)))
-             .limit(2 * sample))
+    # each distinct text counts once, and which texts the limit keeps is fixed by their hashes
+    drawn = (docs.select("text", F.xxhash64("text").alias("draw"),
+                         F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(1 << 30)).alias("lot"))
+             .filter(F.col("lot") < int(share * (1 << 30)))
+             .groupBy("lot", "draw").agg(F.first("text").alias("text"))
+             .orderBy("lot", "draw").limit(2 * sample).select("text", "draw"))
 
     def look(batches):
         for batch in batches:
