@@ -156,7 +156,7 @@ def test_a_further_shard_moves_few_keys(spark):
 
 # ------------------------------------------------------------------ line dedup (7)
 
-def plain_removed(rows, min_words=5):
+def plain_removed(rows, min_words=1):
     """{(doc_id, text): removed line numbers} by comparing all pairs of sets."""
     rows = sorted(set(rows), key=lambda x: (x[0] is None, x[0] or 0))
     at = [(k, i, frozenset(line.encode().split()), line) for k, (_, t) in enumerate(rows)
@@ -207,9 +207,28 @@ def test_line_dedup_of_documents(request, table):
         for r in docs.collect())
 
 
-def test_line_dedup_with_null_ids(odd):
-    out = lines.deduplicate(odd)
-    assert out.count() == odd.count() and out.schema == odd.schema
+def test_line_dedup_with_null_and_tied_ids(spark, odd):
+    """Rows that tie in doc_id, and rows without one, go by the hash of their texts; short
+    lines count, too."""
+    docs = odd.unionByName(odd.limit(0)).select("doc_id", "text").union(spark.createDataFrame(
+        [(None, "a null id with words of its own\nshort line"), (None, "short line\nother"),
+         (50, "tie three\nshort line"), (50, "tie three\none more"), (51, "one\ntie three")],
+        "doc_id long, text string"))
+    hashes = {r.text: r.h for r in docs.select(F.coalesce("text", F.lit("")).alias("text")).select(
+        "text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(set(pairs(docs)), key=lambda x: (x[0] is None, x[0] or 0, hashes[x[1]]))
+    at = [(row, i, frozenset(line.encode().split())) for row in order
+          for i, line in enumerate(row[1].split("\n")) if line.encode().split()]
+    gone = collections.defaultdict(set)
+    for n, (row, i, x) in enumerate(at):
+        if any(5 * len(x & y) >= 4 * len(x | y) for _, _, y in at[:n]):
+            gone[row].add(i)
+    want = collections.Counter()
+    for r in docs.collect():
+        row = (r.doc_id, r.text or "")
+        want[r.doc_id, r.text if not gone[row] else "\n".join(
+            x for i, x in enumerate(r.text.split("\n")) if i not in gone[row])] += 1
+    assert rows_of(lines.deduplicate(docs), "doc_id", "text") == want
 
 
 @pytest.mark.parametrize("ids", ["long", "null", "string"])
@@ -465,7 +484,9 @@ def test_classifier_on_held_out_labels(spark, sf_small):
     got = weaklabel.score(docs).join(labels, "doc_id").collect()
     good = [r for r in got if r.quality == 1]
     bad = [r for r in got if r.quality == 0]
-    assert all(r.kept for r in good) and sum(not r.kept for r in bad) >= 0.4 * len(bad)
+    stay = sum(r.kept for r in bad)
+    print(f'{stay} of {len(bad)} bad documents stay; least good score {min(r.score for r in good)}')
+    assert all(r.kept for r in good) and stay <= 0.4 * len(bad)
     order = sorted(got, key=lambda r: r.score)
     ranks = sum(i for i, r in enumerate(order) if r.quality == 1)
     auc = (ranks - len(good) * (len(good) - 1) / 2) / (len(good) * len(bad))
