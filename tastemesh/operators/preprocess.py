@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tastemesh.functions.strings import split_list, tab_line
 from tastemesh.operators.social import stars_value
 
-# Column order of the tab-separated topical table (K2).
+# The column order of the tab-separated topical table (K2).
 TOPICAL_COLUMNS = [
     "business_id", "business_stars", "business_review_count", "review_id", "review_stars",
     "text", "user_id", "name", "user_review_count", "yelping_since", "friends",
