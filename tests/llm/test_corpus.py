@@ -183,7 +183,8 @@ def test_line_dedup_equals_all_pairs(spark):
         docs.append((d, "\n".join(text)))
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
     want = plain_removed(docs)
-    for options in ({}, {"block_sets": 3}, {"buckets": 8}, {"block_sets": 2, "buckets": 64}):
+    for options in ({}, {"block_sets": 3}, {"buckets": 8}, {"block_sets": 2, "buckets": 64},
+                    {"salt_words": 2}, {"salt_words": 4, "block_sets": 2}):
         got = {r.doc_id: r.text for r in lines.deduplicate(df, **options).collect()}
         for d, t in docs:
             gone = set(want[d, t])
