@@ -10,6 +10,8 @@ from tastemesh.operators import preprocess as P
 from tastemesh.operators.content import liked_items
 from tastemesh.operators.topk import top_k
 from tastemesh.plans.registry import query
+from tastemesh.session import shared_path
+from tastemesh.sources import dumps, keyed
 from tastemesh.sources.lookup import lookup
 from tastemesh.sources.testdata import CATEGORY_FILTER, CITY_FILTER, TestTables
 
@@ -43,6 +45,15 @@ def scan_review(spark, sf_dir):
     return TestTables(spark, sf_dir).review
 
 
+@query("dump_round_trip_review", views=("review",), sql="SELECT * FROM review")
+def dump_round_trip_review(spark, sf_dir):
+    """The reviews written as an extended JSON dump and read back."""
+    review = TestTables(spark, sf_dir).review
+    path = shared_path(spark, "review-dump")
+    dumps.write_dump(review, path)
+    return dumps.read_dump(spark, path, review.schema)[0]
+
+
 @query("scan_user", views=("users",), sql=f"SELECT {USER_SQL_COLS} FROM users")
 def scan_user(spark, sf_dir):
     return TestTables(spark, sf_dir).user.select(*USER_COLS)
@@ -59,6 +70,19 @@ def lookup_business_by_id(spark, sf_dir):
         "business_id", "name", "latitude", "longitude")
 
 
+@query("lookup_business_by_layout", views=("business_details", "review"), sql="""
+SELECT business_id, name, latitude, longitude FROM business_details
+WHERE business_id IN (SELECT business_id FROM review WHERE stars = 5)""")
+def lookup_business_by_layout(spark, sf_dir):
+    """The same lookup through a layout by key: only files that can hold a key are opened."""
+    t = TestTables(spark, sf_dir)
+    path = shared_path(spark, "business-layout")
+    keyed.write_layout(t.business_details, path, "business_id")
+    keys = t.review.filter(F.col("stars") == 5).select("business_id")
+    return keyed.lookup(spark, path, keys, "business_id").select(
+        "business_id", "name", "latitude", "longitude")
+
+
 @query("lookup_business_by_name", views=("business_details",), sql=f"""
 SELECT business_id, name, city FROM business_details
 WHERE name IN (SELECT name FROM business_details WHERE city = '{CITY_FILTER}')""")

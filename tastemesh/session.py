@@ -8,6 +8,7 @@ DataFrames.  Only tests, ``bench.py`` and command-line use call
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,6 +69,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder, removed when the application ends."""
+    root = checkpoint_dir(spark)
+    if root is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
 def cut_lineage(df: DataFrame, required: bool = False) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder.
 
