@@ -192,8 +192,10 @@ def shard_rows(docs: DataFrame, vocab_path: str, end_id: int = END_ID, bits: int
         shard, n, ids, lengths, doc_ids, part, kind = 0, 0, [], [], [], 0, None
 
         def close():
-            matrix = WaveletMatrix.build(np.concatenate(ids).astype(np.uint16 if bits <= 16
-                                                                    else np.uint32), bits)
+            every = np.concatenate(ids)
+            if int(every.max()) >> bits:
+                raise ValueError(f"id {every.max()} does not fit in {bits} bits")
+            matrix = WaveletMatrix.build(every.astype(np.uint16 if bits <= 16 else np.uint32), bits)
             lens = np.concatenate(lengths)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([shard], pa.int32()),
