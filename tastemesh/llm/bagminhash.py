@@ -23,9 +23,9 @@ every member is paired with the band's least member -- as many pairs as members,
 never all pairs -- and pairs are verified on their whole bags.  Then bands that
 still hold several classes are looked at again, as long as that finds a link:
 members of a band, in chunks ordered by their next band, compare signatures,
-and each offers the members of another class that look most like it (two of
-them, if the estimate is within five standard errors of the threshold).
-Offers are again as many as members, and only verified pairs are links.
+and each class, however many members it has there, offers its best-looking pair with
+each of the two classes most like it (if the estimate is within five standard errors
+of the threshold).  One verified pair joins two classes, so more would be wasted.
 When a round finds no link, what is left is tested whole: every pair of a band
 whose classes differ, whose estimate is within the margin and which was not
 tested before, across all blocks of the band.  So the rounds only save work,
@@ -300,8 +300,8 @@ def mixed_bands(member: DataFrame, label: DataFrame, most: int) -> DataFrame:
 
 def best_offers(member: DataFrame, nodes: DataFrame, label: DataFrame,
                 threshold: float = THRESHOLD) -> DataFrame:
-    """(node, centre): in bands of several classes, the members of another class whose
-    signatures look most like a member's own."""
+    """(node, centre): in bands of several classes, each class's pairs with the classes whose
+    signatures look most like its own."""
     rows = (mixed_bands(member, label, CHUNK)
             .withColumn("chunk", F.pmod(F.col("following"), F.col("chunks")))
             .select("band", "chunk", "following", "node", "label")
@@ -309,15 +309,24 @@ def best_offers(member: DataFrame, nodes: DataFrame, label: DataFrame,
     least = threshold - MARGIN
 
     def offers(node, label_, sig):
-        sig = np.frombuffer(b"".join(sig), "<u2").reshape(len(node), -1)
-        label_ = np.asarray(label_, np.int64)
-        pairs = set()
-        for i in range(len(node)):
-            same = (sig == sig[i]).sum(axis=1) * (label_ != label_[i])
-            best = np.argsort(-same, kind="stable")[:OFFERS]
-            for j in best[same[best] >= least * sig.shape[1]].tolist():
-                pairs.add((max(node[i], node[j]), min(node[i], node[j])))
-        return pairs
+        """The best-looking pair of each class with each of the OFFERS classes most like it."""
+        node, label_ = np.asarray(node, np.int64), np.asarray(label_, np.int64)
+        order = np.argsort(label_, kind="stable")
+        node, label_ = node[order], label_[order]
+        sig = np.frombuffer(b"".join(sig), "<u2").reshape(len(node), -1)[order]
+        starts = np.flatnonzero(np.r_[True, label_[1:] != label_[:-1]])
+        n, c = len(node), len(starts)
+        own = np.repeat(np.arange(c), np.diff(np.r_[starts, n]))
+        # slots that agree, member and other member in one number, so that a maximum keeps all
+        best = np.full((c, c), -1, np.int64)
+        for i in range(n):
+            look = (np.count_nonzero(sig == sig[i], axis=1) * n + i) * n + np.arange(n)
+            np.maximum(best[own[i]], np.maximum.reduceat(look, starts), out=best[own[i]])
+        np.fill_diagonal(best, -1)
+        top = np.sort(best, axis=1)[:, -OFFERS:].ravel()
+        top = top[top >= math.ceil(least * sig.shape[1]) * n * n]
+        x, y = node[top // n % n], node[top % n]
+        return set(zip(np.maximum(x, y).tolist(), np.minimum(x, y).tolist()))
 
     def batch_of(pairs):
         a, b = zip(*pairs) if pairs else ((), ())
