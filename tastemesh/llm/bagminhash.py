@@ -27,8 +27,9 @@ and each class, however many members it has there, offers its best-looking pair
 each of the two classes most like it (if the estimate is within five standard errors
 of the threshold).  One verified pair joins two classes, so more would be wasted.
 When a round finds no link, what is left is tested whole: every pair of a band
-whose classes differ, whose estimate is within the margin and which was not
-tested before, across all blocks of the band.  So the rounds only save work,
+whose classes differ and whose estimate is within the margin, across all blocks of
+the band.  There the bags travel with the members, a pair is verified in the task that
+meets it, and only links leave the task.  So the rounds only save work,
 and the classes are those of all pairs that share a band and reach the margin.
 Pairs are dealt by their centre, big centres in several salts, and read as a
 stream that holds one centre's bag.
@@ -69,7 +70,7 @@ SALT_MEMBERS = 2048           # members of one centre that are verified in one s
 CHUNK = 512                   # members of one band that compare signatures
 OFFERS = 2
 BLOCK = 4096                  # members of one band that a task of the last pass compares
-PAIRS_OUT = 1 << 16           # pairs that leave such a task at a time
+BLOCK_BYTES = 1 << 25         # bytes of bags of such a block, where they come with the members
 SEEN_PAIRS = 500_000          # offered pairs that a task remembers
 MARGIN = 0.18                 # five standard errors of an estimate from 128 slots
 SMALL_ROWS = 250_000          # rows of a small table that one task writes
@@ -359,79 +360,155 @@ def best_offers(member: DataFrame, nodes: DataFrame, label: DataFrame,
             .mapInArrow(run, "node long, centre long").distinct())
 
 
-def all_offers(member: DataFrame, nodes: DataFrame, label: DataFrame,
-               threshold: float = THRESHOLD) -> DataFrame:
-    """(node, centre): every pair of different classes that shares a band and whose estimate is
-    within the margin, once, in the first band it shares.
+def _groups(batches):
+    """The rows of one (band, one, two) at a time, as arrays."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        n = batch.num_rows
+        t = {k: batch.column(k).to_numpy() for k in ("band", "one", "two", "block", "node", "label")}
+        t["sig"] = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u2").reshape(n, -1)
+        t["bands"] = batch.column("bands").flatten().to_numpy().reshape(n, -1)
+        if "bag" in batch.schema.names:
+            t["bag"] = batch.column("bag").to_numpy(zero_copy_only=False)
+        if held is not None:
+            t = {k: np.concatenate([held[k], t[k]]) for k in t}
+        new = np.flatnonzero(np.r_[True, (t["band"][1:] != t["band"][:-1])
+                                   | (t["one"][1:] != t["one"][:-1])
+                                   | (t["two"][1:] != t["two"][:-1])])
+        for lo, hi in zip(new[:-1], new[1:]):
+            yield {k: v[lo:hi] for k, v in t.items()}
+        held = {k: v[new[-1]:] for k, v in t.items()}
+    if held is not None:
+        yield held
+
+
+def _alike(t: dict, least: float):
+    """(row, its partners behind it) of one group: other classes, estimates of ``least`` or more,
+    in the first band that both share; of two blocks only pairs across."""
+    label, sig, bands = t["label"], t["sig"], t["bands"]
+    cross = t["one"][0] != t["two"][0]
+    second = int(np.searchsorted(t["block"], t["two"][0])) if cross else len(label)
+    for i in range(second):
+        j = second if cross else i + 1
+        j += np.flatnonzero(label[j:] != label[i])
+        j = j[np.count_nonzero(sig[j] == sig[i], axis=1) >= least * sig.shape[1]]
+        if len(j):
+            shared = bands[j] == bands[i]
+            j = j[bands[i][shared.argmax(axis=1)] == t["band"][0]]
+            if len(j):
+                yield i, j
 
-    A band is cut into blocks by its nodes' hashes, and every two blocks of it meet.
-    """
+
+def _block_pairs(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` (band, chunks, node, ...) cut into blocks by their nodes' hashes, every two
+    blocks of a band in one group."""
     block = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    rows = (mixed_bands(member, label, BLOCK).withColumn("block", block)
+    return (rows.withColumn("block", block)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
             .select("band", F.least("block", "other").alias("one"),
-                    F.greatest("block", "other").alias("two"), "block", "node", "label")
+                    F.greatest("block", "other").alias("two"), "block", *columns))
+
+
+def _by_group(rows: DataFrame) -> DataFrame:
+    return (rows.repartition("band", "one", "two")
+            .sortWithinPartitions("band", "one", "two", "block", "node"))
+
+
+def candidates(member: DataFrame, nodes: DataFrame, label: DataFrame,
+               threshold: float = THRESHOLD) -> DataFrame:
+    """(band, node): members that in this band meet another class within the margin."""
+    rows = (_block_pairs(mixed_bands(member, label, BLOCK), ["node", "label"])
             .join(nodes.select("node", "sig", "bands"), "node"))
     least = threshold - MARGIN
 
-    def table(batch):
-        n = batch.num_rows
-        t = {k: batch.column(k).to_numpy() for k in ("band", "one", "two", "block", "node", "label")}
-        t["sig"] = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u2").reshape(n, -1)
-        t["bands"] = batch.column("bands").flatten().to_numpy().reshape(n, -1)
-        return t
+    def run(batches):
+        for t in _groups(batches):
+            has = np.zeros(len(t["node"]), bool)
+            for i, j in _alike(t, least):
+                has[i] = True
+                has[j] = True
+            if has.any():
+                yield pa.RecordBatch.from_arrays([pa.array(t["band"][has]), pa.array(t["node"][has])],
+                                                 names=["band", "node"])
+
+    return _by_group(rows).mapInArrow(run, "band long, node long").distinct()
+
+
+def bag_table(wanted: DataFrame, nodes: DataFrame, docs: DataFrame,
+              shingle: int = SHINGLE) -> DataFrame:
+    """(node, bag) of the ``wanted`` nodes: the sorted hashes of a text, then their counts."""
+    keyed = (wanted.join(nodes.select("node", "first_id", "copy"), "node")
+             .select("node", row_key(F.col("first_id"), F.col("copy")).alias("key")))
+    text = texts(docs).select(row_key(F.col("doc_id"), F.md5("text")).alias("key"), "text")
 
-    def whole_groups(batches):
-        held = None
+    def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            t = table(batch)
-            if held is not None:
-                t = {k: np.concatenate([held[k], t[k]]) for k in t}
-            new = np.flatnonzero(np.r_[True, (t["band"][1:] != t["band"][:-1])
-                                       | (t["one"][1:] != t["one"][:-1])
-                                       | (t["two"][1:] != t["two"][:-1])])
-            for lo, hi in zip(new[:-1], new[1:]):
-                yield {k: v[lo:hi] for k, v in t.items()}
-            held = {k: v[new[-1]:] for k, v in t.items()}
-        if held is not None:
-            yield held
-
-    def pairs(t):
-        """(a, b) of one group, a row at a time; of two blocks only pairs across."""
-        node, label_, sig, bands = t["node"], t["label"], t["sig"], t["bands"]
-        cross = t["one"][0] != t["two"][0]
-        second = int(np.searchsorted(t["block"], t["two"][0])) if cross else len(node)
-        for i in range(second):
-            j = (second if cross else i + 1)
-            j += np.flatnonzero(label_[j:] != label_[i])
-            j = j[np.count_nonzero(sig[j] == sig[i], axis=1) >= least * sig.shape[1]]
-            if len(j):
-                shared = bands[j] == bands[i]
-                j = j[bands[i][shared.argmax(axis=1)] == t["band"][0]]
-                yield np.maximum(node[j], node[i]), np.minimum(node[j], node[i])
+            for lo in range(0, batch.num_rows, BATCH_TEXTS):
+                b = batch.slice(lo, BATCH_TEXTS)
+                doc, value, weight = bags(b.column("text").to_pylist(), shingle)
+                cut = np.searchsorted(doc, np.arange(b.num_rows + 1))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("node"), pa.array(
+                        [value[x:y].astype("<u8").tobytes() + weight[x:y].astype("<u4").tobytes()
+                         for x, y in zip(cut[:-1], cut[1:])], pa.binary())], names=["node", "bag"])
+
+    return (keyed.join(text, "key").select("node", "text").mapInArrow(run, "node long, bag binary")
+            .dropDuplicates(["node"]))
+
+
+def last_links(member: DataFrame, nodes: DataFrame, label: DataFrame, docs: DataFrame,
+               threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
+    """(a, b): links between the classes of ``label`` that all pairs of a band give, once in the
+    first band that a pair shares.
+
+    The members that meet another class within the margin travel with their bags to every
+    two blocks of their band (blocks of about ``BLOCK_BYTES``); a pair is verified there
+    unless the links that the task has found join it already, so a group gives fewer
+    links than it has classes.
+    """
+    found = written(candidates(member, nodes, label, threshold), "candidates")
+    bag = written(bag_table(found.select("node").distinct(), nodes, docs, shingle), "bags")
+    size = (found.join(bag.select("node", F.length("bag").alias("bytes")), "node").groupBy("band")
+            .agg(F.ceil(F.sum("bytes") / F.lit(BLOCK_BYTES)).cast("int").alias("chunks")))
+    size = size.withColumn("chunks", F.greatest("chunks", F.lit(1)))
+    rows = (_block_pairs(found.join(size, "band"), ["node"]).join(label, "node", "left")
+            .withColumn("label", F.coalesce("label", "node"))
+            .join(nodes.select("node", "sig", "bands"), "node").join(bag, "node"))
+    least = threshold - MARGIN
+
+    def links(t):
+        above = {}
+
+        def root(x):
+            while above.get(x, x) != x:
+                above[x] = x = above.get(above[x], above[x])
+            return x
+
+        bag = []
+        for x in t["bag"]:
+            n = len(x) // 12
+            bag.append((np.frombuffer(x, "<u8", n), np.frombuffer(x, "<u4", n, 8 * n).astype(np.int64)))
+        total = np.array([int(w.sum()) for _, w in bag])
+        name = t["label"].tolist()
+        for i, j in _alike(t, least):
+            j = j[np.minimum(total[j], total[i]) >= threshold * np.maximum(total[j], total[i])]
+            for k in j.tolist():
+                x, y = root(name[i]), root(name[k])
+                if x != y and overlap(bag[i], bag[k]) >= threshold:
+                    above[max(x, y)] = min(x, y)
+                    yield name[i], name[k]
 
     def run(batches):
-        a, b, n = [], [], 0
-        for t in whole_groups(batches):
-            for x, y in pairs(t):
-                a.append(x)
-                b.append(y)
-                n += len(x)
-                if n >= PAIRS_OUT:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)),
-                                                      pa.array(np.concatenate(b))],
-                                                     names=["node", "centre"])
-                    a, b, n = [], [], 0
-        if n:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)),
-                                              pa.array(np.concatenate(b))],
-                                             names=["node", "centre"])
+        for t in _groups(batches):
+            out = list(links(t))
+            if out:
+                a, b = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
+                                                 names=["a", "b"])
 
-    return (rows.repartition("band", "one", "two")
-            .sortWithinPartitions("band", "one", "two", "block", "node")
-            .mapInArrow(run, "node long, centre long"))
+    return _by_group(rows).mapInArrow(run, "a long, b long").distinct()
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE,
@@ -455,16 +532,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGL
         "tested")
     links = tested.filter("similar").select(F.col("node").alias("a"), F.col("centre").alias("b"))
     label = components(links)
-    last = False
     while True:
-        offer = (all_offers if last else best_offers)(member, nodes, label, threshold)
-        offer = written(offer.join(tested.select("node", "centre"), ["node", "centre"],
-                                   "left_anti"), "offers")
+        offer = written(best_offers(member, nodes, label, threshold)
+                        .join(tested.select("node", "centre"), ["node", "centre"], "left_anti"),
+                        "offers")
         if not offer.head(1):
-            if last:
-                break
-            last = True
-            continue
+            break
         new = written(verify(offer, nodes, docs, threshold, shingle), "tested")
         one = label.select(F.col("node").alias("x"), F.col("label").alias("lx"))
         two = label.select(F.col("node").alias("y"), F.col("label").alias("ly"))
@@ -473,13 +546,13 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGL
                  .select(F.coalesce("lx", "node").alias("a"), F.coalesce("ly", "centre").alias("b"))
                  .filter("a <> b").distinct())
         links = written(links, "links")
-        found = bool(links.head(1))
-        if found:
-            label = merged(label, links)
-        if last:
-            break                     # every pair that was left is tested
-        last = not found
+        if not links.head(1):
+            break
+        label = merged(label, links)
         tested = written(tested.union(new), "tested")
+    links = written(last_links(member, nodes, label, docs, threshold, shingle), "links")
+    if links.head(1):
+        label = merged(label, links)
     label = (nodes.select("copy", "node").join(label, "node", "left")
              .select("copy", "node", F.coalesce("label", "node").alias("label")))
     return table.select("doc_id", "copy"), label
