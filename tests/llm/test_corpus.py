@@ -337,6 +337,7 @@ def test_groups_of_near_copies_are_whole(spark):
 def test_links_hidden_by_pairs_below_the_threshold(spark, monkeypatch):
     """Ten pairs of similarity 0.805 among 120 texts that are all alike by 0.77 to 0.79."""
     monkeypatch.setattr(bagminhash, "BLOCK", 32, raising=False)
+    monkeypatch.setattr(bagminhash, "BLOCK_BYTES", 1 << 18)
     rows, edits = [], []
     for c in range(120):      # the places of two texts' edits are lines that meet once at most
         edits.append({x * 13 + (c // 13 * x + c) % 13: f"edit{c}x{x}" for x in range(13)})
