@@ -110,8 +110,9 @@ def _present(value: Column, data_type: T.DataType) -> Column:
     return F.when(~_absent(value), _typed(value, data_type))
 
 
-def _misfit(value: Column, data_type: T.DataType) -> Column:
-    """Whether a value is there that does not fit, at any depth."""
+def _misfit(value: Column, data_type: T.DataType, typed: Column | None = None) -> Column:
+    """Whether a value is there that does not fit, at any depth; ``typed`` is the value as its
+    type, if it is known already."""
     inside = F.lit(False)
     if isinstance(data_type, T.ArrayType):
         inside = F.exists(_whole(value, "array<variant>"),
@@ -122,25 +123,38 @@ def _misfit(value: Column, data_type: T.DataType) -> Column:
     elif isinstance(data_type, T.StructType):
         for f in data_type:
             inside = inside | _misfit(_at(value, f.name, "variant"), f.dataType)
-    bad = _typed(value, data_type).isNull() | F.coalesce(inside, F.lit(False))
+    if typed is None:
+        typed = _typed(value, data_type)
+    bad = typed.isNull() | F.coalesce(inside, F.lit(False))
     return F.when(_absent(value), F.lit(False)).otherwise(bad)
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """(line, reason, row): ``row`` is the document of each line of the string column ``line``;
-    ``reason`` tells why there is none, and is null if it is whole."""
+    ``reason`` tells why there is none, and is null if it is whole.
+
+    The results leave a generator of one row: a filter on ``reason`` stays above it, instead of
+    being pushed to the scan with a parse of the line for every member that it looks at.
+    """
     doc = F.col("doc")
-    misfits = F.concat_ws(", ", *[
-        F.when(_misfit(_at(doc, f.name, "variant"), f.dataType), F.lit(f.name)) for f in schema])
     parsed = (lines.select("line").filter(~F.col("line").rlike(r"^[ \t\r\n]*$"))
               .withColumn("doc", F.try_parse_json("line")))
+    # each member is looked up once, and typed once
+    members = parsed.select("line", "doc", *[
+        _at(doc, f.name, "variant").alias(f"_v{i}") for i, f in enumerate(schema)])
+    typed = members.select("line", "doc", *[F.col(f"_v{i}") for i in range(len(schema))], *[
+        _present(F.col(f"_v{i}"), f.dataType).alias(f"_t{i}") for i, f in enumerate(schema)])
+    misfits = F.concat_ws(", ", *[
+        F.when(_misfit(F.col(f"_v{i}"), f.dataType, F.col(f"_t{i}")), F.lit(f.name))
+        for i, f in enumerate(schema)])
     named = (F.when(doc.isNull(), F.lit("no JSON"))
              .when(~_kind(doc).startswith("OBJECT"), F.lit("no object"))
              .when(misfits != "", F.concat(F.lit("type of "), misfits)))
-    row = F.struct(*[_present(_at(doc, f.name, "variant"), f.dataType).alias(f.name)
-                     for f in schema])
-    return (parsed.withColumn("reason", named)
-            .select("line", "reason", F.when(F.col("reason").isNull(), row).alias("row")))
+    row = F.struct(*[F.col(f"_t{i}").alias(f.name) for i, f in enumerate(schema)])
+    return (typed.select("line", F.explode(F.array(F.struct(named.alias("reason"),
+                                                            row.alias("row")))).alias("_r"))
+            .select("line", "_r.reason", F.when(F.col("_r.reason").isNull(), F.col("_r.row"))
+                    .alias("row")))
 
 
 def read_dump(spark: SparkSession, path: str, schema: T.StructType,

@@ -87,3 +87,12 @@ def test_the_three_collections(spark, tmp_path):
         assert [r.reason for r in broken.collect()] == ["no JSON"]
         assert dumps.read_dump(spark, str(tmp_path / name), schema)[0].select(
             F.count("*")).first()[0] == 1
+
+
+def test_a_line_is_parsed_once_whatever_the_filter(spark, tmp_path):
+    """The filter on the reason must not carry its own parses of the line to the scan."""
+    schema = T.StructType([EVERY["s"], EVERY["l"], EVERY["d"], EVERY["a"]])
+    dumps.write_dump(spark.createDataFrame([("x", 1, 2.0, [3])], schema), str(tmp_path / "d"))
+    for df in dumps.read_dump(spark, str(tmp_path / "d"), schema):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.lower().count("parsejson") == 1
