@@ -86,3 +86,37 @@ def test_social_ties_by_business_id(spark):
 def test_adjacency_json_lines(spark):
     out = social.adjacency_json_lines(_edges(spark, [("a", "b")]))
     assert [r.value for r in out.collect()] == ['{"user_id":"a","friend":"b"}']
+
+
+def test_lists_and_slices_give_the_same_sums(spark, monkeypatch):
+    """Short lists, cut users and small batches against sums by hand; whole lists are shuffled."""
+    monkeypatch.setattr(social, "LIST_ROWS", 3)
+    monkeypatch.setattr(social, "SLICE_PAIRS", 4)
+    reviews = [(u, (u * 7 + j * j) % 23, float(1 + (u + j) % 5)) for u in range(20) for j in range(12)]
+    reviews += [(3, None, 5.0), (None, 4, 5.0), (4, 1, None)]
+    pairs = [(u, f) for u in range(20) for f in range(20) if u == 0 or (u + f) % 9 == 0]
+    pairs += [(None, 3), (77, 5), (6, None), (0, 3)]
+    sums = {}
+    for u, f in set(pairs):
+        for r, b, stars in reviews:
+            if r is not None and r == f and b is not None and (stars or 0) >= 3:
+                sums.setdefault(u, {}).setdefault(b, 0)
+                sums[u][b] += 1
+    own = {(u, b) for u, b, _ in reviews if u is not None}
+    want = set()
+    for u, found in sums.items():
+        best = sorted((-n, b) for b, n in found.items() if (u, b) not in own)[:4]
+        want |= {(u, b, -n, i + 1) for i, (n, b) in enumerate(best)}
+    r = spark.createDataFrame(reviews, "user_id long, business_id long, stars double").repartition(4)
+    p = spark.createDataFrame(pairs, "user_id long, friend long").repartition(3)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        out = social.social_recommendations(r, p, k=4)
+        got = {(x.user_id, x.business_id, x.top_reviews, x["rank"]) for x in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and any(
+        "REPARTITION_BY_COL" in x and "_slice" in x for x in plan.split("\n"))
