@@ -6,6 +6,7 @@ import itertools
 import random
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -232,6 +233,23 @@ def test_line_dedup_with_null_and_tied_ids(spark, odd):
     assert rows_of(lines.deduplicate(docs), "doc_id", "text") == want
 
 
+def test_line_dedup_of_long_sets_verifies_listed_pairs(spark):
+    """Sets too long to travel with their keys, in blocks so small that the second pass matters."""
+    rnd = random.Random(5)
+    base = [[f"b{b}w{i}" for i in range(12)] for b in range(3)]
+    docs = []
+    for d in range(40):
+        line = list(rnd.choice(base))
+        for _ in range(rnd.randint(0, 3)):
+            line[rnd.randrange(12)] = f"v{rnd.randrange(9)}"
+        docs.append((d, " ".join(line)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    want = plain_removed(docs)
+    got = lines.removed_lines(df, block_sets=2, carried=4)
+    keys = {r.key.split()[0] for r in got.collect()}
+    assert keys == {str(d) for d, _ in want} and len(keys) > 10
+
+
 @pytest.mark.parametrize("ids", ["long", "null", "string"])
 def test_line_dedup_of_chains_within_a_document(spark, ids):
     """r ~ p ~ q without r ~ q: p goes by r and q by p, in either order of the lines' hashes."""
@@ -255,6 +273,23 @@ def test_line_dedup_of_chains_within_a_document(spark, ids):
     assert {x.doc_id: x.text for x in lines.deduplicate(df).collect()} == want
 
 
+def test_line_dedup_verifies_near_copies_where_they_meet(spark):
+    """A group of near copies gives as many rows as members, in place of all its pairs."""
+    n, words = 40, np.arange(20, dtype=np.int64)
+    rows = [(7, 0, i, i, 20, 0, 0, 0, p) for i in range(n) for p in (False, True)]
+    keys = spark.createDataFrame(rows, "word long, block int, node long, hint long, n int, pos int, "
+                                       "map0 long, map1 long, probe boolean")
+    met = lines.met_rows(keys, Fraction("0.8"))
+    assert met.filter("b is null").count() == 2 * n - 2        # the first has no earlier one, the last no later
+    assert met.filter("b is not null").count() == 0
+    long = lines.met_rows(keys, Fraction("0.8"), carried=19)
+    assert {(r.node, r.b) for r in long.collect()} == {(i, j) for i in range(n) for j in range(i)}
+    sets = spark.createDataFrame([(i, [int(w) for w in words[:-1]] + [100 + i]) for i in range(n)],
+                                 "node long, words array<long>")
+    got = lines.settled(met.join(sets, "node"), Fraction("0.8")).collect()
+    assert sorted((r.a, r.b) for r in got) == [(i, None) for i in range(1, n)]
+
+
 def test_word_sets_are_ordered_by_rarity():
     h = np.array([50, 10, 30], np.uint64)
     row, code = lines.word_sets(np.array([0, 0, 0, 1, 1]), np.array([0, 1, 0, 2, 1]), h,
