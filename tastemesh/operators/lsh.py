@@ -102,6 +102,53 @@ def coverage(m: np.ndarray, depths, probes: int, s: float) -> float:
     return 1 - missed
 
 
+_SLICE_ROWS = 1 << 10       # queries whose probes are listed at once
+
+
+def _cheapest(m: np.ndarray, depths: np.ndarray, probes: int):
+    """:func:`flips` of all rows of margins (rows, bits) at once: the nearest hyperplanes (rows,
+    near), and per probe (rows, probes, near) which of these it crosses; probes that a row has
+    not, as its depth is small, are False in (rows, probes)."""
+    cost = np.where(np.arange(m.shape[1]) < depths[:, None], m ** 2, np.inf)
+    near = np.argsort(cost, axis=1, kind="stable")[:, :max(4, 2 * math.isqrt(probes) + 2)]
+    cost = np.take_along_axis(cost, near, axis=1)
+    sets = [c for size in range(4) for c in combinations(range(near.shape[1]), size)]
+    price = np.stack([sum((cost[:, j] for j in c), np.zeros(len(m))) for c in sets], axis=1)
+    first = np.argsort(price, axis=1, kind="stable")[:, :probes]
+    crossed = np.zeros((len(sets), near.shape[1]), bool)
+    for row, c in enumerate(sets):
+        crossed[row, list(c)] = True
+    return near, crossed[first], np.isfinite(np.take_along_axis(price, first, axis=1))
+
+
+def _sliced(vector: pd.Series, depths: pd.Series, tables: int, bits: int, seed: int):
+    """(row from, row to, margins (rows * tables, bits), depths (rows * tables)) in slices."""
+    for lo in range(0, len(vector), _SLICE_ROWS):
+        part = vector.iloc[lo:lo + _SLICE_ROWS]
+        m = margins(np.stack(part.to_numpy()).astype(float), tables, bits, seed)
+        yield lo, lo + len(part), m, np.concatenate(
+            [np.asarray(d)[:tables] for d in depths.iloc[lo:lo + _SLICE_ROWS]])
+
+
+def coverages(m: np.ndarray, depths: np.ndarray, probes: int, s: np.ndarray) -> np.ndarray:
+    """:func:`coverage` of all rows of margins (rows, tables, bits) at once."""
+    rows, tables, bits = m.shape
+    flat = m.reshape(-1, bits)
+    near, crossed, real = _cheapest(flat, depths, probes)
+    spread = np.sqrt(np.maximum(1e-12, 1 - s * s))
+    x = np.repeat(-np.maximum(s, 0.0) / spread / math.sqrt(2), tables)[:, None] * np.abs(flat)
+    inside = np.arange(bits) < depths[:, None]
+    same = np.ones(flat.shape)
+    same[inside] = 0.5 * np.array([math.erfc(v) for v in x[inside].tolist()])
+    own = same.prod(axis=1)
+    odds = np.take_along_axis((1 - same) / same, near, axis=1)
+    found = np.zeros(len(flat))
+    for p in range(crossed.shape[1]):
+        found += np.where(real[:, p], own * np.where(crossed[:, p], odds, 1.0).prod(axis=1), 0.0)
+    missed = (1 - np.minimum(1.0, found)).reshape(rows, tables).prod(axis=1)
+    return np.where(s >= 1, 1.0, 1 - missed)
+
+
 def vector_classes(vectors: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     """(rep, vector, ids) per distinct vector -- its least id and its ``k + 1`` least
     ids -- and (business_id, rep) per item."""
@@ -174,11 +221,14 @@ class HashIndex:
 
         @F.pandas_udf("array<struct<t:int,code:long>>")
         def wanted(vector: pd.Series, depths: pd.Series) -> pd.Series:
-            m = margins(np.stack(vector.to_numpy()).astype(float), tables, bits, seed)
-            codes, out = codes_of(m), []
-            for r, each in enumerate(depths):
-                out.append([{"t": t, "code": int(codes[r, t]) ^ sum(1 << (bits - 1 - j) for j in c)}
-                            for t in range(tables) for c in flips(m[r, t], each[t], probes)[done:]])
+            out = []
+            for lo, hi, m, each in _sliced(vector, depths, tables, bits, seed):
+                near, crossed, real = _cheapest(m.reshape(-1, bits), each, probes)
+                bit = np.left_shift(np.int64(1), (bits - 1 - near).astype(np.int64))
+                code = codes_of(m).reshape(-1, 1) ^ np.where(crossed, bit[:, None, :], 0).sum(axis=2)
+                code, real = (x[:, done:].reshape(hi - lo, tables, -1) for x in (code, real))
+                out += [[{"t": t, "code": c} for t in range(tables)
+                         for c in code[r, t][real[r, t]].tolist()] for r in range(hi - lo)]
             return pd.Series(out)
 
         asked = (queries.join(self._depths(), "rep")
@@ -216,9 +266,10 @@ class HashIndex:
 
         @F.pandas_udf("double")
         def chance(vector: pd.Series, depths: pd.Series, s: pd.Series) -> pd.Series:
-            m = margins(np.stack(vector.to_numpy()).astype(float), tables, bits, seed)
-            return pd.Series([coverage(m[r], depths.iloc[r], probes, s.iloc[r])
-                              for r in range(len(s))])
+            out = np.zeros(len(s))
+            for lo, hi, m, each in _sliced(vector, depths, tables, bits, seed):
+                out[lo:hi] = coverages(m, each, probes, s.to_numpy(float)[lo:hi])
+            return pd.Series(out)
         last = best.groupBy("input").agg(F.count(F.lit(1)).alias("_n"), F.min("score").alias("_s"))
         full = last.filter(F.col("_n") >= k).select(F.col("input").alias("rep"), "_s")
         return (queries.join(self._depths(), "rep").join(full, "rep")
